@@ -12,7 +12,7 @@ from reelsift.operators.ranking import dense_ids, hashed_id
 def list_parts(column: str | Column, separator: str = ",", trim: bool = True) -> Column:
     """Parts of a list in a text; with ``trim`` blanks around them are stripped and empty parts dropped."""
     parts = F.split(as_column(column), separator)
-    return F.filter(F.transform(parts, F.trim), lambda part: part != "") if trim else parts
+    return F.filter(F.transform(parts, lambda part: F.trim(part)), lambda part: part != "") if trim else parts
 
 
 def create_unique_df(

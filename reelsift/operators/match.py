@@ -24,7 +24,7 @@ def whole_word_pattern(title: Column) -> Column:
 
 def exact_match(text: Column, title: Column) -> Column:
     """Whether the title occurs in the text as whole words, ignoring case."""
-    return F.lower(text).rlike(whole_word_pattern(F.lower(title)))
+    return F.rlike(F.lower(text), whole_word_pattern(F.lower(title)))
 
 
 def _words(text: Column) -> Column:

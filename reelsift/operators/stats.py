@@ -48,7 +48,7 @@ def pivot_counts(df: DataFrame, group_by: str, pivot: str, names: dict[str, str]
 
     ``names`` lists the pivot values with their column names; the total covers those values.
     """
-    counted = df.groupBy(group_by).pivot(pivot, list(names)).agg(F.count("*"))
+    counted = df.groupBy(group_by).pivot(pivot, list(names)).agg(F.count(F.lit(1)))
     renamed = counted.withColumnsRenamed(names)
     parts = [F.coalesce(F.col(name), F.lit(0)) for name in names.values()]
     return renamed.withColumn(total, reduce(add, parts))

@@ -201,17 +201,19 @@ def best_trailers(
     trending: DataFrame,
     candidate: Column | None = None,
     ties: str = "all",
+    long_texts: bool = False,
 ) -> DataFrame:
     """The most viewed trailer of each title: videos whose title holds the title as whole words.
 
     ``shows`` has show_id, title, votes and gross; ``videos`` video_id, title and category_name;
-    ``trending`` the daily figures, of which each video's maxima are taken one by one.
+    ``trending`` the daily figures, of which each video's maxima are taken one by one. Say
+    ``long_texts`` when the video titles are too long to travel with each of their words.
     """
     titles = shows.select("show_id", F.col("title").alias("streaming_title"), "votes", "cumulative_worldwide_gross_eur")
     if candidate is None:
         candidate = trailer_condition(F.col("title"), F.col("category_name"))
     trailers = videos.where(candidate).select("video_id", F.col("title").alias("video_title"))
-    matched = match.match_titles(titles, trailers, "streaming_title", "video_title", "video_id", inline_text=True)
+    matched = match.match_titles(titles, trailers, "streaming_title", "video_title", "video_id", inline_text=not long_texts)
     measures = {c: c for c in ("view_count", "likes", "dislikes", "comment_count")}
     wanted = matched.select("video_id").distinct()
     peaks = stats.column_wise_max(trending.join(wanted, "video_id", "left_semi"), "video_id", measures)
