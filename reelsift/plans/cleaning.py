@@ -110,6 +110,7 @@ def trending_initial_cleaning(raw: DataFrame, keep_highest: bool = True) -> Data
     rows = ensure_list_column(raw.withColumnsRenamed(lookups.VIDEO_RENAMES), "tags", r"\|", lookups.NO_TAGS)
     views = F.col("view_count")
     order = [views.desc_nulls_last() if keep_highest else views.asc(), F.col("likes").desc_nulls_last()]
+    order.append(F.col("comment_count").desc_nulls_last())
     rows = drop_duplicates_by_ordered_partition(rows, ["video_id", "trending_date", "country_dataset"], order)
     return convert_bool_columns_to_int(rows)
 

@@ -69,10 +69,10 @@ def read_country_files(spark: SparkSession, path: str, schema: T.StructType | st
     )
 
 
-def read_category_lookup(spark: SparkSession, path: str) -> DataFrame:
+def read_category_lookup(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """(category_id, category_name) from category files ``{"items": [{"id", "snippet": {"title"}}]}``."""
     schema = "items array<struct<id: string, snippet: struct<title: string>>>"
-    items = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("items").alias("item"))
+    items = spark.read.schema(schema).json(path, multiLine=multi_line).select(F.explode("items").alias("item"))
     return (
         items.groupBy(F.col("item.id").alias("category_id"))
         .agg(F.min("item.snippet.title").alias("category_name"))

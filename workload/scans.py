@@ -1 +1,215 @@
+"""Sources, sinks and table definitions: each query writes a driver table and reads it back."""
 
+from pyspark.sql import functions as F
+
+from reelsift.functions.values import map_literal
+from reelsift.sources import readers, writers
+from workload.registry import query
+
+CUSTOMERS = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+
+@query(
+    "s1_media_csv",
+    """SELECT doc_id::VARCHAR AS video_id, md5(text) AS title, doc_id::VARCHAR AS channel_id FROM documents WHERE n_chars > 0""",
+)
+def _(t):
+    path = t.scratch()
+    # Texts with quotes and line breaks, under the raw names.
+    rows = t.documents.where("n_chars > 0").select(
+        F.col("doc_id").cast("string").alias("video_id"), F.col("text").alias("title"), F.col("doc_id").alias("channelId")
+    )
+    writers.write_csv(rows, path)
+    read = readers.read_media_csv(t.spark, path, "video_id string, title string, channelId string")
+    return read.withColumn("title", F.md5("title"))
+
+
+@query("s2_inferred_csv", "SELECT c_custkey::INTEGER AS c_custkey, c_name, c_acctbal FROM customer")
+def _(t):
+    path = t.scratch()
+    writers.write_csv(t.customer.select("c_custkey", "c_name", "c_acctbal"), path)
+    return readers.load_csv(t.spark, path)
+
+
+@query("s3_tag_translations", "SELECT DISTINCT p_name AS original_tag, upper(p_name) AS translated_tag FROM part")
+def _(t):
+    path = t.scratch()
+    names = t.part.select(
+        F.col("p_name").alias("normalized_tag"), F.lit("x").alias("language"), F.upper("p_name").alias("english_translation")
+    ).distinct()
+    writers.write_csv(names, path)
+    return readers.read_tag_translations(t.spark, path)
+
+
+@query("s4_csv_sink", "SELECT p_partkey, p_name, p_type || '\"' AS quoted FROM part")
+def _(t):
+    path = t.scratch()
+    writers.write_csv(t.part.select("p_partkey", "p_name", F.concat("p_type", F.lit('"')).alias("quoted")), path)
+    schema = "p_partkey bigint, p_name string, quoted string"
+    return t.spark.read.schema(schema).options(**readers.CSV_DIALECT).csv(path)
+
+
+@query("s5_parquet_scan", "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 45")
+def _(t):
+    return readers.read_parquet(t.spark, f"{t.folder}/lineitem.parquet").where("l_quantity > 45").select("l_orderkey", "l_quantity")
+
+
+@query("s6_scan_by_path", "SELECT o_orderkey, o_totalprice FROM orders")
+def _(t):
+    path = t.scratch()
+    t.orders.select("o_orderkey", "o_totalprice").write.orc(path)
+    return readers.read_path(t.spark, path, "orc")
+
+
+@query("s7_table_scan", "SELECT s_suppkey, s_name FROM supplier")
+def _(t):
+    database = t.database()
+    writers.save_to_db(t.supplier.select("s_suppkey", "s_name"), database, "suppliers", overwrite_schema=True)
+    return readers.read_table(t.spark, database, "suppliers")
+
+
+@query("s8_inline_rows", "SELECT c_custkey, code FROM customer JOIN (VALUES ('BUILDING', 1), ('MACHINERY', 2)) v(segment, code) ON c_mktsegment = segment")
+def _(t):
+    codes = readers.inline_table(t.spark, [("BUILDING", 1), ("MACHINERY", 2)], ["c_mktsegment", "code"])
+    return t.customer.join(codes.withColumn("code", F.col("code").cast("int")), "c_mktsegment").select("c_custkey", "code")
+
+
+COUNTRY = {0: "BR", 1: "CA", 2: "DE", 3: "FR", 4: "GB"}
+
+
+@query(
+    "s9_country_files",
+    """SELECT c_custkey::VARCHAR AS video_id, c_name AS title, ['BR', 'CA', 'DE', 'FR', 'GB'][n_regionkey + 1] AS country_dataset
+       FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def _(t):
+    path = t.scratch()
+    customers = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = customers.select(
+        F.concat(map_literal(COUNTRY)[F.col("n_regionkey")], F.lit("_trending_data")).alias("dataset"),
+        F.col("c_custkey").alias("video_id"), F.col("c_name").alias("title"), F.lit("d").alias("description"),
+    )
+    # One folder per country, as the scan expects: .../XX_trending_data/part-*.csv
+    for country in COUNTRY.values():
+        folder = f"{country}_trending_data"
+        writers.write_csv(rows.where(F.col("dataset") == folder).drop("dataset"), f"{path}/{folder}")
+    return readers.read_country_files(t.spark, f"{path}/*", "video_id string, title string, description string")
+
+
+@query(
+    "s10_category_names",
+    "SELECT p_partkey, n_name AS category_name FROM part LEFT JOIN nation ON p_size = n_nationkey",
+)
+def _(t):
+    path = t.scratch()
+    item = F.struct(F.col("n_nationkey").cast("string").alias("id"), F.struct(F.col("n_name").alias("title")).alias("snippet"))
+    t.nation.groupBy("n_regionkey").agg(F.collect_list(item).alias("items")).drop("n_regionkey").write.json(path)
+    lookup = readers.read_category_lookup(t.spark, path, multi_line=False)
+    return readers.add_category_name(t.part.select("p_partkey", F.col("p_size").alias("category_id")), lookup).drop("category_id")
+
+
+@query(
+    "s11_appended_table",
+    """SELECT c_custkey, c_name, NULL::DOUBLE AS c_acctbal FROM customer UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier""",
+)
+def _(t):
+    database = t.database()
+    writers.save_to_db(t.supplier, database, "people", overwrite_schema=True)
+    writers.save_to_db(t.customer.select("c_custkey", "c_name"), database, "people", overwrite_schema=True)
+    more = t.supplier.select(F.col("s_acctbal").alias("c_acctbal"), F.col("s_suppkey").alias("c_custkey"))
+    writers.save_to_db(more, database, "people")
+    return readers.read_table(t.spark, database, "people")
+
+
+@query(
+    "s12_replaced_partitions",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE o_totalprice END AS o_totalprice, o_orderstatus FROM orders""",
+)
+def _(t):
+    database = t.database()
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    writers.save_to_db2(rows, database, "orders", ["o_orderstatus"])
+    finished = rows.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit(0.0))
+    writers.save_to_db2(finished.select("o_orderstatus", "o_totalprice", "o_orderkey"), database, "orders")
+    return readers.read_table(t.spark, database, "orders")
+
+
+@query(
+    "s13_merged_table",
+    """SELECT c_custkey AS show_id, CASE WHEN c_nationkey < 5 THEN c_acctbal + 1 ELSE c_acctbal END AS balance,
+       CASE WHEN c_nationkey < 5 THEN DATE '2024-05-06' ELSE DATE '2000-01-01' END AS last_updated_date FROM customer WHERE c_nationkey <> 4
+       UNION ALL SELECT c_custkey, c_acctbal + 1, DATE '2024-05-06' FROM customer WHERE c_nationkey = 4""",
+)
+def _(t):
+    database = t.database()
+    base = t.scratch()
+    before = t.customer.where("c_nationkey <> 4").select(
+        F.col("c_custkey").alias("show_id"), F.col("c_acctbal").alias("balance"), F.lit("2000-01-01").cast("date").alias("last_updated_date")
+    )
+    writers.publish(before, f"{database}.shows", base)
+    updates = t.customer.where("c_nationkey < 5").select(
+        F.col("c_custkey").alias("show_id"), (F.col("c_acctbal") + 1).alias("balance"), F.lit(None).cast("date").alias("last_updated_date")
+    )
+    view = f"{database}_updates"
+    writers.expose_view(updates, view)
+    writers.merge_tables(t.spark, database, "shows", view, run_date="2024-05-06", base_path=base)
+    # Once more: an upsert of the same rows changes nothing.
+    return writers.merge_tables(t.spark, database, "shows", view, run_date="2024-05-06", base_path=base)
+
+
+@query("s14_checkpoint", "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS doubled FROM orders")
+def _(t):
+    table = f"{t.database()}.checkpoint"
+    base = t.scratch()
+    first = writers.save_checkpoint(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), table, base)
+    # Reads the checkpoint it replaces, with another schema.
+    doubled = first.select("o_orderkey", "o_custkey", (F.col("o_totalprice") * 2).alias("doubled"))
+    return writers.save_checkpoint(doubled, table, base)
+
+
+@query("s15_checkpoint_or_rebuild", "SELECT event_id, user_id, 'built' AS origin FROM events UNION ALL SELECT event_id, user_id, 'saved' FROM events")
+def _(t):
+    path = t.scratch()
+    rows = t.events.select("event_id", "user_id")
+    build = lambda: rows.withColumn("origin", F.lit("built"))
+    built = readers.read_or_build(lambda: readers.read_path(t.spark, path), build)
+    rows.withColumn("origin", F.lit("saved")).write.parquet(path)
+    return built.unionByName(readers.read_or_build(lambda: readers.read_path(t.spark, path), build))
+
+
+@query("s16_tables_defined", "SELECT n_nationkey, n_name, NULL::DATE AS last_updated_date FROM nation")
+def _(t):
+    database = t.database()
+    writers.create_database(t.spark, database)
+    for _ in range(2):
+        writers.create_table(t.spark, database, "nations", "n_nationkey int, n_name string, last_updated_date date")
+    writers.save_to_db(t.nation.select("n_name", "n_nationkey"), database, "nations")
+    return readers.read_table(t.spark, database, "nations")
+
+
+@query("s17_renamed_table", "SELECT r_regionkey, r_name FROM region")
+def _(t):
+    database = t.database()
+    writers.save_to_db(t.region, database, "old_name", overwrite_schema=True)
+    writers.rename_table(t.spark, database, "old_name", "new_name")
+    return readers.read_table(t.spark, database, "new_name")
+
+
+@query("s18_view", "SELECT p_brand, avg(p_size) AS mean_size FROM part GROUP BY p_brand")
+def _(t):
+    writers.expose_view(t.part, "reelsift_parts")
+    return t.spark.sql("SELECT p_brand, avg(p_size) AS mean_size FROM reelsift_parts GROUP BY p_brand")
+
+
+@query(
+    "s19_date_slice",
+    """SELECT event_id, 'slice' AS kind FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'
+       UNION ALL SELECT event_id, 'all' FROM events""",
+)
+def _(t):
+    path = t.scratch()
+    dated = t.events.select("event_id", F.col("ts").cast("date").alias("last_updated_date"))
+    dated.write.partitionBy("last_updated_date").parquet(path)
+    stored = readers.read_parquet(t.spark, path)
+    sliced = readers.slice_by_date(stored, "2024-01-05").select("event_id", F.lit("slice").alias("kind"))
+    return sliced.union(readers.slice_by_date(stored).select("event_id", F.lit("all")))
