@@ -70,9 +70,15 @@ def convert_to_eur(df: DataFrame, currency: str, amount: str, new_column: str, r
 
 
 def box_office_to_eur(df: DataFrame, column: str = "box_office", rates: DataFrame | None = None) -> DataFrame:
-    """Replace the box-office text by budget, opening weekend and worldwide gross in whole euro."""
+    """Replace the box-office text by budget, opening weekend and worldwide gross in whole euro.
+
+    Tokens are looked for behind the label only. Labels cannot hold one, and trying their letters is slow.
+    """
     rates = rates_table(df.sparkSession) if rates is None else rates
-    out = extract_box_office_data(df.withColumn(column, strip_braces(column)), column).drop(column)
+    stripped = df.withColumn(column, strip_braces(column))
+    out = stripped.withColumns(
+        {field: F.regexp_extract(column, pattern, 1) for field, pattern in BOX_OFFICE_FIELDS.items()}
+    ).drop(column)
     for field in BOX_OFFICE_FIELDS:
         currency, amount = extract_currency_and_amount(money_token(field, field))
         out = out.withColumns({"__unit": currency, "__amount": amount})

@@ -10,17 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Rows of one 8-byte key that may be broadcast once they are counted: some 100 MB as a hash table.
 BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a narrow table for broadcast after counting it; a larger one is left to a shuffle join.
-
-    For joins whose other side is too large to shuffle before its size is measured.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def map_column(df: DataFrame, mapping: DataFrame, mapped_column: str, join_column: str) -> DataFrame:
     """Replace ``join_column`` by what ``mapping`` has for it; values it lacks become null."""
     order = [c for c in df.columns]

@@ -6,20 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.operators.dedup import drop_duplicates_by_ordered_partition
-from reelsift.operators.joins import broadcast_if_small
+from reelsift.operators.joins import BROADCAST_ROWS
 from reelsift.session import durable
 
 WORD = r"[\p{L}\p{N}_]"
 WORDS = rf"{WORD}+"
 # What separates two words, with both of them next to it.
 INNER_GAPS = rf"(?<={WORD})[^\p{{L}}\p{{N}}_]+(?={WORD})"
-BOUNDARY = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+KINDS = ("pair", "word", "gap")
 
 
 def whole_word_pattern(title: Column) -> Column:
-    """Regex that finds the title, taken literally, between word boundaries."""
-    literal = F.replace(title, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    return F.concat(F.lit(BOUNDARY + "\\Q"), literal, F.lit("\\E" + BOUNDARY))
+    """Regex that finds the title, taken literally, between word boundaries.
+
+    An end of the title that is a word character must not touch another one in the text; any other
+    end must touch one. The literal stands first, so that most positions fail on one character.
+    """
+    literal = F.concat(F.lit("\\Q"), F.replace(title, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    after = F.when(title.rlike(WORD + "$"), f"(?!{WORD})").otherwise(f"(?={WORD})")
+    before = F.when(title.rlike("^" + WORD), f"(?<!{WORD}").otherwise(f"(?<={WORD}")
+    return F.concat(literal, after, before, literal, F.lit(")"))
 
 
 def exact_match(text: Column, title: Column) -> Column:
@@ -27,42 +33,55 @@ def exact_match(text: Column, title: Column) -> Column:
     return F.rlike(F.lower(text), whole_word_pattern(F.lower(title)))
 
 
-def _words(text: Column) -> Column:
+def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0))
 
 
-def _pairs(words: Column) -> Column:
-    heads = F.slice(words, F.lit(1), F.size(words) - 1)
-    return F.when(
-        F.size(words) > 1,
-        F.zip_with(heads, F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b)),
-    ).otherwise(F.array().cast("array<string>"))
+def gaps_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(INNER_GAPS), F.lit(0))
+
+
+def _single_keys(parts: Column, kind: str) -> Column:
+    return F.array_distinct(F.transform(parts, lambda part: F.xxhash64(F.lit(kind), part)))
 
 
-def _hashed(keys: Column, kind: str) -> Column:
-    return F.array_distinct(F.transform(keys, lambda key: F.xxhash64(F.lit(kind), key)))
+def _pair_keys(words: Column) -> Column:
+    pairs = F.greatest(F.size(words) - 1, F.lit(0))
+    neighbours = (F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs))
+    return F.array_distinct(F.zip_with(*neighbours, lambda a, b: F.xxhash64(F.lit("pair"), a, b)))
 
 
-def title_keys(title: Column) -> Column:
-    """Hashed keys of which every text that holds the title has all.
+def title_keys(titles: DataFrame, title: str) -> DataFrame:
+    """Add ``__kind`` and the hashed ``__keys`` of which every text that holds the title has all.
 
     A boundary at either end of a title means that its words are whole words of the text and follow
     each other there. So the keys are its pairs of neighbouring words, or its only word. A title
     without a word is exactly what separates two words of the text.
     """
-    words = _words(title)
+    words = F.col("__words")
     return (
-        F.when(F.size(words) > 1, _hashed(_pairs(words), "pair"))
-        .when(F.size(words) == 1, _hashed(words, "word"))
-        .otherwise(_hashed(F.array(F.lower(title)), "gap"))
+        titles.withColumn("__words", words_of(F.col(title)))
+        .withColumns(
+            {
+                "__kind": F.when(F.size(words) > 1, "pair").when(F.size(words) == 1, "word").otherwise("gap"),
+                "__keys": F.when(F.size(words) > 1, _pair_keys(words))
+                .when(F.size(words) == 1, _single_keys(words, "word"))
+                .otherwise(_single_keys(F.array(F.lower(title)), "gap")),
+            }
+        )
+        .drop("__words")
     )
 
 
-def text_keys(text: Column) -> Column:
-    """Hashed keys of a text: its words, its pairs of neighbouring words and its gaps between words."""
-    words = _words(text)
-    gaps = F.regexp_extract_all(F.lower(text), F.lit(INNER_GAPS), F.lit(0))
-    return F.concat(_hashed(words, "word"), _hashed(_pairs(words), "pair"), _hashed(gaps, "gap"))
+def text_keys(texts: DataFrame, text: str, carried: list[str], kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """(carried columns, ``__key``): the words, neighbouring words and gaps between words of each text."""
+    split = texts.select(*carried, words_of(F.col(text)).alias("__words"), gaps_of(F.col(text)).alias("__gaps"))
+    keys = {
+        "pair": _pair_keys(F.col("__words")),
+        "word": _single_keys(F.col("__words"), "word"),
+        "gap": _single_keys(F.col("__gaps"), "gap"),
+    }
+    return split.select(*carried, F.explode(F.concat(*[keys[kind] for kind in kinds])).alias("__key"))
 
 
 def match_titles(
@@ -92,24 +111,28 @@ def match_titles(
         raise ValueError(f"rename the columns both sides have: {sorted(clash)}")
 
     wanted = titles.where(F.length(title) >= min_length)
-    per_title = wanted.select(F.col(title).alias("__title")).distinct()
-    keyed_titles = per_title.select("__title", F.explode(title_keys(F.col("__title"))).alias("__key"))
+    per_title = title_keys(wanted.select(F.col(title).alias("__title")).distinct(), "__title")
+    keyed_titles = per_title.select("__title", "__kind", F.explode("__keys").alias("__key"))
+    # At most one row per kind of key: how many keys there are to look for.
+    counts = {r[0]: r[1] for r in keyed_titles.groupBy("__kind").agg(F.count_distinct("__key")).collect()}
+    kinds = tuple(kind for kind in KINDS if kind in counts) or KINDS
 
     carried = texts.columns if inline_text else [text_id]
-    title_side = broadcast_if_small(keyed_titles.select("__key").distinct())
+    title_side = keyed_titles.select("__key").distinct()
+    if sum(counts.values()) <= BROADCAST_ROWS:
+        title_side = F.broadcast(title_side)
     keyed_texts = durable(
-        texts.where(F.col(text).isNotNull())
-        .select(*carried, F.explode(text_keys(F.col(text))).alias("__key"))
-        .join(title_side, "__key", "left_semi")
+        text_keys(texts.where(F.col(text).isNotNull()), text, carried, kinds).join(title_side, "__key", "left_semi")
     )
 
     frequency = keyed_texts.groupBy("__key").agg(F.count("*").alias("__texts"))
     rarest = (
-        keyed_titles.join(frequency, "__key")
-        .groupBy("__title")
+        per_title.select("__title", F.size("__keys").alias("__wanted"), F.explode("__keys").alias("__key"))
+        .join(frequency, "__key")
+        .groupBy("__title", "__wanted")
         .agg(F.min_by("__key", F.struct("__texts", "__key")).alias("__key"), F.count("*").alias("__found"))
         # A title with a key that no text has cannot match.
-        .where(F.col("__found") == F.size(title_keys(F.col("__title"))))
+        .where(F.col("__found") == F.col("__wanted"))
         .select("__title", "__key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
     )
     salted_texts = keyed_texts.withColumn("__salt", F.pmod(F.xxhash64(text_id), F.lit(salts)).cast("int"))
