@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,8 +13,9 @@ SCALE_SETTINGS = {
     # A hot join key is split into several tasks even when that costs one more shuffle afterwards.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
+# Times without a zone are taken as UTC.
+SESSION_SETTINGS = {**SCALE_SETTINGS, "spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(app_name: str = "reelsift", master: str | None = None, **settings: str) -> SparkSession:
@@ -22,7 +24,7 @@ def build_session(app_name: str = "reelsift", master: str | None = None, **setti
     if master:
         builder = builder.master(master)
     overrides = {name.replace("__", "."): value for name, value in settings.items()}
-    for name, value in {**SCALE_SETTINGS, **overrides}.items():
+    for name, value in {**SESSION_SETTINGS, **overrides}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -45,8 +47,12 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and continue from there, so that lost executors cannot change it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and continue from there.
+
+    What follows reads one fixed result, however often it does and whichever executors are lost. As a
+    parquet table it can be split anew, read by column and sized by the planner.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_root(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -32,6 +32,8 @@ def start_upsert(
     def apply(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         publish(upsert(spark.table(table), clean(batch), key, order_by=order_by), table, base_path)
+        # Batches run in a session of their own; the caller's has to learn of the new folder.
+        arriving.sparkSession.catalog.refreshTable(table)
 
     return (
         arriving.writeStream.foreachBatch(apply)

@@ -210,9 +210,9 @@ def _(t):
        n_name AS country_code FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
 )
 def _(t):
-    nations = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    sold = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     kind = F.when(F.col("l_returnflag") == "R", "blocked").otherwise("allowed")
-    lists = t.lineitem.join(nations, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    lists = sold.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("l_partkey").alias("video_id"), F.create_map(kind, F.array("n_name")).alias("region_restriction")
     )
     return stars.region_restrictions(lists)

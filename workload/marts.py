@@ -16,13 +16,11 @@ COUNTRIES = {0: "BR", 1: "US", 2: "JP", 3: "DE"}
 def trending(t, video: str):
     """Line items as trending rows; the supplier's region gives the country, one of them unknown."""
     country = F.coalesce(map_literal(COUNTRIES)[F.col("n_regionkey")], F.lit("XX"))
-    nations = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", country.alias("country_dataset")
-    )
-    return t.lineitem.join(nations, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    sold = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return sold.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col(video).alias("video_id"),
         F.col("l_shipdate").alias("trending_date"),
-        "country_dataset",
+        country.alias("country_dataset"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("view_count"),
         F.when(F.col("l_returnflag") != "R", F.col("l_quantity").cast("bigint")).alias("likes"),
         F.col("l_linenumber").cast("bigint").alias("dislikes"),

@@ -19,8 +19,8 @@ def _(t):
 
 
 def sold_by_nation(t):
-    nations = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return t.lineitem.join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
+    sold = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return sold.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
 
 
 SOLD = "lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"
