@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions.text import as_column
 from reelsift.lookups import MUSIC_GENRE_RULES, OTHER_GENRE, Rule
+from reelsift.session import durable
 
 # Alternatives that each span a whole line: ".*word.*|.*other.*".
 WHOLE_LINE = re.compile(r"\.\*[^|()\\]*\.\*(\|\.\*[^|()\\]*\.\*)*")
@@ -65,10 +66,11 @@ def map_genre(column: str | Column, rules: list[Rule] = MUSIC_GENRE_RULES, defau
 def apply_per_distinct(df: DataFrame, column: str, new_column: str, rule) -> DataFrame:
     """Run ``rule`` once per distinct value of ``column`` and join the outcome back.
 
-    Pays off when few values repeat over very many rows. The planner decides on a broadcast from
-    the measured size of the distinct values; otherwise the join shuffles, and a hot value is split.
+    For rules that cost more than a join, over values that repeat. The outcome is written first, so
+    the planner knows its size: a small one is broadcast and the rows stay where they are; a large
+    one is joined by shuffle, where a hot value is split.
     """
-    mapped = df.select(F.col(column).alias("__value")).distinct().withColumn("__label", rule("__value"))
+    mapped = durable(df.select(F.col(column).alias("__value")).distinct().withColumn("__label", rule("__value")))
     order = df.columns if new_column in df.columns else [*df.columns, new_column]
     joined = df.join(mapped, F.col(column).eqNullSafe(F.col("__value")), "left")
     return joined.withColumn(new_column, F.col("__label")).select(*order)

@@ -11,7 +11,7 @@ from reelsift import lookups
 from reelsift.functions.dates import convert_date_format, iso8601_to_time, release_date, run_date as run_date_column
 from reelsift.functions.dates import split_duration, split_series_years
 from reelsift.functions.money import box_office_to_eur
-from reelsift.functions.rules import cascade
+from reelsift.functions.rules import apply_per_distinct, cascade
 from reelsift.functions.text import keyword_flag, strip_leading_comma
 from reelsift.functions.values import convert_string_boolean_to_int
 from reelsift.operators.dedup import drop_duplicates_by_ordered_partition, latest_per_key
@@ -82,6 +82,8 @@ def clean_enriched_catalogue(
     Of the rows with one title on one platform the least ``show_id`` stays.
     """
     rows = slice_by_date(enriched, file_date)
+    # Labels first: they depend on the genres alone, and only the genres are read for them.
+    rows = apply_per_distinct(rows, "genres", "genres", lambda genres: cascade(genres, genre_rules))
     if "release_year" in rows.columns:
         rows = rows.withColumnRenamed("release_year", "release_date")
     rows = rows.withColumns(
@@ -97,9 +99,7 @@ def clean_enriched_catalogue(
     if "box_office" in rows.columns:
         rows = keep_at_least(box_office_to_eur(rows, "box_office", rates), "budget_eur", minimum_budget)
     rows = drop_duplicates_by_ordered_partition(rows, ["title", "platform"], "show_id")
-    return rows.withColumns(
-        {"genres": cascade("genres", genre_rules), "last_updated_date": run_date_column(run_date)}
-    )
+    return rows.withColumn("last_updated_date", run_date_column(run_date))
 
 
 def trending_initial_cleaning(raw: DataFrame, keep_highest: bool = True) -> DataFrame:

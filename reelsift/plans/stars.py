@@ -11,6 +11,7 @@ from reelsift.operators.dedup import drop_duplicates_by_ordered_partition
 from reelsift.operators.dims import create_association_table, create_unique_df
 from reelsift.operators.ranking import dense_ids, hashed_id
 from reelsift.operators.reshape import explode_array, explode_map_of_lists
+from reelsift.session import durable
 
 
 def tag_star(
@@ -24,7 +25,7 @@ def tag_star(
 
     Tags are lower-cased, translated (no translation gives the placeholder) and condensed by the
     rules; a condensed tag's id is its rank among all of them, or with ``ids="hash"`` a hash of it.
-    Rules run once per distinct translated tag.
+    Rules run once per distinct translated tag; their outcome is written before it is joined.
     """
     keyed = translations.select(F.col("original_tag").alias("tag"), "translated_tag")
     raw = explode_array(videos.select("video_id", "tags"), "tags", "tag", lower=True).distinct()
@@ -33,7 +34,7 @@ def tag_star(
         .select("video_id", F.coalesce("translated_tag", F.lit(placeholder)).alias("tag"))
         .distinct()
     )
-    condensed = translated.select("tag").distinct().withColumn("main_tag", last_match("tag", rules))
+    condensed = durable(translated.select("tag").distinct().withColumn("main_tag", last_match("tag", rules)))
     if ids == "hash":
         labelled = condensed.withColumn("tag_id", hashed_id(F.col("main_tag")))
         dimension = labelled.select("tag_id", F.col("main_tag").alias("tag")).distinct()
