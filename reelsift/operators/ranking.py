@@ -34,7 +34,8 @@ def global_row_number(df: DataFrame, order_by: str | list[str], new_column: str)
     place = F.col("__slot_row").bitwiseAND((1 << ROW_BITS) - 1)
     return (
         placed.withColumn("__slot", slot)
-        .join(offsets, "__slot")
+        # As few rows as there are slots, so the numbered rows stay where they are.
+        .join(F.broadcast(offsets), "__slot")
         .withColumn(new_column, F.col("__offset") + place + 1)
         .drop("__slot", "__slot_row", "__offset")
     )

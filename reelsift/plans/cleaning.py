@@ -102,36 +102,44 @@ def clean_enriched_catalogue(
     return rows.withColumn("last_updated_date", run_date_column(run_date))
 
 
+def _clean_trending_columns(raw: DataFrame) -> DataFrame:
+    return ensure_list_column(raw.withColumnsRenamed(lookups.VIDEO_RENAMES), "tags", r"\|", lookups.NO_TAGS)
+
+
+def _by_views(keep_highest: bool) -> list:
+    views = F.col("view_count")
+    first = views.desc_nulls_last() if keep_highest else views.asc()
+    return [first, F.col("likes").desc_nulls_last(), F.col("comment_count").desc_nulls_last()]
+
+
 def trending_initial_cleaning(raw: DataFrame, keep_highest: bool = True) -> DataFrame:
     """Clean names and types, and one row per video, trending date and country.
 
     The row with the most views stays, or with ``keep_highest=False`` the one with the fewest.
     """
-    rows = ensure_list_column(raw.withColumnsRenamed(lookups.VIDEO_RENAMES), "tags", r"\|", lookups.NO_TAGS)
-    views = F.col("view_count")
-    order = [views.desc_nulls_last() if keep_highest else views.asc(), F.col("likes").desc_nulls_last()]
-    order.append(F.col("comment_count").desc_nulls_last())
-    rows = drop_duplicates_by_ordered_partition(rows, ["video_id", "trending_date", "country_dataset"], order)
+    keys = ["video_id", "trending_date", "country_dataset"]
+    rows = drop_duplicates_by_ordered_partition(_clean_trending_columns(raw), keys, _by_views(keep_highest))
     return convert_bool_columns_to_int(rows)
 
 
-def merged_videos(raw: DataFrame, keep_highest: bool = True) -> DataFrame:
-    """One row per video over all countries: its latest trending row, with the columns still to be enriched.
+def latest_videos(raw: DataFrame, keep_highest: bool = True) -> DataFrame:
+    """The latest row of each video after :func:`trending_initial_cleaning`, found in one pass.
 
-    Cleaning keeps one row per (video, day, country); of those only the latest day of each video is
-    kept anyway, so one pass over all countries serves them all.
+    The row that cleaning keeps of the latest day is the first of the video in this order.
     """
-    rows = trending_initial_cleaning(ensure_column_existence(raw, "is_scraped", "int", 0), keep_highest)
-    latest = latest_per_key(rows, "video_id", "trending_date", ["country_dataset"])
-    typed = latest.withColumns(
-        {name: F.col(name).cast("boolean") for name in ("comments_disabled", "ratings_disabled") if name in latest.columns}
-    )
-    return merge_schema_into_dataframe(typed, VIDEO_ENRICHED)
+    rows = _clean_trending_columns(raw)
+    return latest_per_key(rows, "video_id", "trending_date", ["country_dataset", *_by_views(keep_highest)])
+
+
+def merged_videos(raw: DataFrame, keep_highest: bool = True) -> DataFrame:
+    """One row per video over all countries: its latest trending row, with the columns still to be enriched."""
+    pending = ensure_column_existence(raw, "is_scraped", "int", 0)
+    return merge_schema_into_dataframe(latest_videos(pending, keep_highest), VIDEO_ENRICHED)
 
 
 def silver_videos(trending: DataFrame, enriched: DataFrame) -> DataFrame:
     """Latest trending facts of each video next to its enriched details, with durations and flags normalised."""
-    base = latest_per_key(trending_initial_cleaning(trending), "video_id", "trending_date", ["country_dataset"])
+    base = latest_videos(trending)
     facts = [
         "channel_id", "title", "channel_title", "published_at", "category_name", "thumbnail_link",
         "comments_disabled", "ratings_disabled",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelsift import lookups
 from reelsift.functions.dates import to_local_time, truncate_time
-from reelsift.functions.rules import last_match
+from reelsift.functions.rules import apply_per_distinct, last_match
 from reelsift.functions.values import ratio
 from reelsift.operators import match, stats
 from reelsift.operators.dedup import earliest_per_key
@@ -20,6 +20,11 @@ from reelsift.operators.ranking import top_k_per_group, top_n
 from reelsift.operators.reshape import explode_array
 from reelsift.session import durable
 
+FACT_COLUMNS = ["video_id", "trending_date", "country_dataset", "view_count", "likes", "dislikes", "comment_count"]
+VIDEO_COLUMNS = [
+    "video_id", "channel_id", "title", "published_at", "category_name", "comments_disabled",
+    "ratings_disabled", "default_language", "duration", "caption",
+]
 TRENDING_COLUMNS = [
     "video_id", "title", "channel_title", "trending_date", "UTC_publish_date", "country_dataset",
     "view_count", "likes", "dislikes", "comment_count", "category_name", "comments_disabled",
@@ -31,7 +36,9 @@ def trending_with_details(
     trending: DataFrame, videos: DataFrame, channels: DataFrame, zones: dict[str, str] | None = None
 ) -> DataFrame:
     """Trending rows with their video, channel and local publishing time."""
-    joined = trending.join(videos, "video_id", "left").join(channels, "channel_id", "left")
+    facts, details = trending.select(*FACT_COLUMNS), videos.select(*VIDEO_COLUMNS)
+    named = channels.select("channel_id", "channel_title")
+    joined = facts.join(details, "video_id", "left").join(named, "channel_id", "left")
     published = F.col("published_at")
     return joined.withColumns(
         {
@@ -231,7 +238,7 @@ def tag_condensing_report(
     Tables: ``tag_counts``, ``per_video``, ``coverage`` (one row), ``histogram`` and ``nulls``.
     """
     exploded = explode_array(videos.select("video_id", "tags"), "tags", "tag", lower=True).where("tag != ''")
-    condensed = exploded.withColumn("main_tag", last_match("tag", rules))
+    condensed = apply_per_distinct(exploded, "tag", "main_tag", lambda tag: last_match(tag, rules))
     counts = stats.group_by_count(condensed, "main_tag")
     most_used = top_n(counts, [F.col("main_tag_count").desc(), F.col("main_tag").asc()], top)
     per_video = stats.flag_summary(flag_members(condensed, "main_tag", most_used, "top_x_tag"), "video_id", "top_x_tag")

@@ -28,6 +28,12 @@ def save_to_db(df: DataFrame, database: str, table: str, overwrite_schema: bool
     df.write.format(fmt).mode(mode).option("mergeSchema", "true").saveAsTable(name)
 
 
+def save_tables(tables: dict[str, DataFrame], database: str, fmt: str = "parquet") -> None:
+    """Replace several tables of a database, such as the ones of a dimensional model."""
+    for name, df in tables.items():
+        save_to_db(df, database, name, overwrite_schema=True, fmt=fmt)
+
+
 def align_to_table(df: DataFrame, name: str) -> DataFrame:
     """Columns in the order of the table; a new column is added to the table, a missing one is null."""
     spark = df.sparkSession
