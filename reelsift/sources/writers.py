@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift.functions.dates import run_date as run_date_column
@@ -13,6 +13,7 @@ from reelsift.operators.dedup import display_duplicates, drop_duplicates_by_orde
 from reelsift.session import shared_root
 
 UPDATE_DATE = "last_updated_date"
+KEY_BUCKET = "key_bucket"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -78,9 +79,7 @@ def publish(df: DataFrame, table: str, base_path: str | None = None, partition_b
     write leaves the table as it was. One writer at a time; old folders are for the caller to expire.
     """
     spark = df.sparkSession
-    folder = f"{base_path or shared_root(spark)}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+    folder = _write_folder(df, table, base_path, partition_by)
     if spark.catalog.tableExists(table):
         if _same_layout(spark, table, df, partition_by):
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
@@ -95,6 +94,17 @@ def publish(df: DataFrame, table: str, base_path: str | None = None, partition_b
     return spark.table(table)
 
 
+def _write_folder(df: DataFrame, table: str, base_path: str | None, partition_by: list[str] | None) -> str:
+    root = base_path or shared_root(df.sparkSession)
+    folder = f"{root}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
+    if partition_by:
+        # Rows of a partition come together, in as many tasks as its size asks for.
+        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by).parquet(folder)
+    else:
+        df.write.parquet(folder)
+    return folder
+
+
 def _same_layout(spark: SparkSession, table: str, df: DataFrame, partition_by: list[str] | None) -> bool:
     catalogued = spark.catalog.listColumns(table)
     partitions = [c.name for c in catalogued if c.isPartition]
@@ -108,6 +118,38 @@ def _refresh(spark: SparkSession, table: str, partition_by: list[str] | None) ->
     spark.catalog.refreshTable(table)
 
 
+def key_bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def publish_bucketed(df: DataFrame, table: str, key: str, buckets: int, base_path: str | None = None) -> DataFrame:
+    """Publish a table in partitions by a hash of its key, so that later merges rewrite only those they touch."""
+    spark = df.sparkSession
+    publish(df.withColumn(KEY_BUCKET, key_bucket(key, buckets)), table, base_path, [KEY_BUCKET])
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{KEY_BUCKET}s' = '{buckets}')")
+    return spark.table(table)
+
+
+def _merge_buckets(
+    target: DataFrame, updates: DataFrame, table: str, key: str, run_date, base_path: str | None
+) -> DataFrame:
+    """Upsert into the buckets that have updates; each is written anew and switched, the others stay untouched."""
+    spark = target.sparkSession
+    buckets = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{KEY_BUCKET}s')").first().value)
+    bucket = key_bucket(key, buckets)
+    # At most one row per bucket.
+    touched = [r[0] for r in updates.select(bucket.alias(KEY_BUCKET)).distinct().collect()]
+    before = target.where(F.col(KEY_BUCKET).isin(touched)).drop(KEY_BUCKET)
+    merged = upsert(before, updates, key, run_date).withColumn(KEY_BUCKET, bucket)
+    folder = _write_folder(merged, table, base_path, [KEY_BUCKET])
+    for number in touched:
+        partition, place = f"PARTITION ({KEY_BUCKET} = {number})", f"{folder}/{KEY_BUCKET}={number}"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {table} {partition} SET LOCATION '{place}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def save_checkpoint(df: DataFrame, table: str, base_path: str | None = None) -> DataFrame:
     """Replace a checkpoint table, with a new schema if need be, and continue from what was written."""
     return publish(df, table, base_path)
@@ -165,14 +207,20 @@ def merge_tables(
     base_path: str | None = None,
     partition_by: list[str] | None = None,
 ) -> DataFrame:
-    """Upsert a view into a table by key; MERGE where the table format has it, else rewrite and switch."""
+    """Upsert a view into a table by key: MERGE where the table format has it, else rewrite and switch.
+
+    A table from :func:`publish_bucketed` has only the buckets with updates rewritten.
+    """
     name = f"{database}.{table}"
     target = spark.table(name)
     provider = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name == "Provider"]
     if provider and provider[0].lower() in {"delta", "iceberg"}:
         spark.sql(merge_statement(name, new_data_view, target.columns, key))
         return spark.table(name)
-    return publish(upsert(target, spark.table(new_data_view), key, run_date), name, base_path, partition_by)
+    updates = spark.table(new_data_view)
+    if KEY_BUCKET in target.columns:
+        return _merge_buckets(target, updates, name, key, run_date, base_path)
+    return publish(upsert(target, updates, key, run_date), name, base_path, partition_by)
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:

@@ -16,12 +16,11 @@ TEXTS = [
     "mamma mia!", "mamma mia!b", "a b a b", "a b", "ab", "cet été là", "l'été", "étés", "a?!b", "a ?! b", "yes?!no", "c++", "c++x",
     "r\\eal", "in 1917.", "19170", "my naïve_café", "the the the", "", "ß", "a...b", "a..b", "ünder 2 ünder", None,
 ]
-WORD = re.compile(r"[^\W]", re.UNICODE)
 
 
 def found(title, text):
-    """Reference semantics: the literal title between word boundaries, ignoring case."""
-    return re.search(r"\b" + re.escape(title.lower()) + r"\b", text.lower()) is not None
+    """The literal title between word boundaries, ignoring case."""
+    return bool(re.findall(rf"\b{re.escape(title)}\b", text, re.IGNORECASE))
 
 
 def expected(titles, texts, min_length=1):

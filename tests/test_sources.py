@@ -56,6 +56,20 @@ def test_merge_into_partitioned_table(spark, database, tmp_path):
     assert "PartitionFilters: [isnotnull(last_updated_date" in plan(readers.slice_by_date(merged, "2024-05-06"))
 
 
+def test_merge_rewrites_only_touched_buckets(spark, database, tmp_path):
+    base, name = str(tmp_path / "data"), f"{database}.b"
+    many = spark.range(200).select(F.col("id").cast("string").alias("show_id"), F.lit(1).alias("v"), F.lit(OLD).alias("last_updated_date"))
+    before = set(writers.publish_bucketed(many, name, "show_id", 8, base).inputFiles())
+    for _ in range(2):
+        writers.expose_view(shows(spark, ("7", 9, None), ("new", 2, None)), "updates_b")
+        merged = writers.merge_tables(spark, database, "b", "updates_b", run_date=RUN, base_path=base)
+        assert merged.count() == 201
+        assert rows(merged.where("v > 1"), "show_id", "v", "last_updated_date") == [("7", 9, RUN), ("new", 2, RUN)]
+    kept = before & set(merged.inputFiles())
+    assert len(before) - len(kept) in (1, 2)
+    assert merged.where(F.col("key_bucket") != writers.key_bucket("show_id", 8)).count() == 0
+
+
 def test_merge_statement_parses(spark):
     text = writers.merge_statement("db.t", "v", ["show_id", "v", "last_updated_date"])
     spark._jsparkSession.sessionState().sqlParser().parsePlan(text)

@@ -13,11 +13,10 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from pyspark.sql import Window, types as T  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from reelsift.functions import rules  # noqa: E402
-from reelsift.functions.dates import iso8601_to_time  # noqa: E402
 from reelsift.lookups import CATALOGUE_GENRE_RULES, MUSIC_GENRE_RULES  # noqa: E402
 from reelsift.operators import match  # noqa: E402
 from reelsift.plans import marts  # noqa: E402
@@ -39,10 +38,7 @@ def seconds(build, repeats: int = 3) -> float:
 
 
 def plain_title_match(t):
-    @F.udf(T.BooleanType())
-    def whole_words(text, title):
-        return re.search(r"\b" + re.escape(title.lower()) + r"\b", text.lower()) is not None
-
+    whole_words = F.udf(lambda text, title: bool(re.search(rf"\b{re.escape(title)}\b", text, re.IGNORECASE)), T.BooleanType())
     titles = page_titles(t).where(F.length("title") > 5)
     pairs = titles.crossJoin(t.documents.select("doc_id", "text"))
     return pairs.where(F.lower("text").contains(F.lower("title"))).where(whole_words("text", "title"))
@@ -50,25 +46,24 @@ def plain_title_match(t):
 
 def plain_top_tags(t):
     bridge, tags = part_tags(t)
-    rows = trending(t, "l_partkey").join(bridge, "video_id", "left").join(tags, "tag_id", "left")
-    means = (
-        rows.where((F.col("view_count") > 1_000_000) & F.col("tag").isNotNull() & (F.col("tag") != "red"))
-        .withColumn("rate", F.try_divide("likes", "view_count"))
-        .groupBy("tag", "country_dataset")
-        .agg(F.count("*").alias("n"), F.avg("view_count"), F.avg("likes"), F.avg("rate"))
+    trending(t, "l_partkey").join(bridge, "video_id").join(tags, "tag_id").createOrReplaceTempView("tagged_rows")
+    return t.spark.sql(
+        """SELECT * FROM (
+             SELECT *, row_number() OVER (PARTITION BY country_dataset ORDER BY n DESC, tag) AS place FROM (
+               SELECT tag, country_dataset, count(*) AS n, avg(view_count), avg(likes), avg(try_divide(likes, view_count))
+               FROM tagged_rows WHERE view_count > 1000000 AND tag <> 'red' GROUP BY tag, country_dataset))
+           WHERE place <= 10"""
     )
-    window = Window.partitionBy("country_dataset").orderBy(F.col("n").desc(), "tag")
-    return means.withColumn("rank", F.row_number().over(window)).where("rank <= 10")
 
 
 def plain_distribution(t):
-    facts, videos = trending(t, "l_orderkey"), order_videos(t)
-    totals = facts.groupBy("country_dataset").agg(F.count("*").alias("whole"))
-    joined = facts.join(videos, "video_id", "left").groupBy("country_dataset", "category_name").agg(F.count("*").alias("n"))
-    local = joined.join(totals, "country_dataset", "left").select("country_dataset", "category_name", "n", (F.col("n") / F.col("whole")).alias("s"))
-    world = local.groupBy("category_name").agg(F.sum("n").alias("n"))
-    world = world.withColumn("s", F.col("n") / F.sum("n").over(Window.partitionBy())).withColumn("country_dataset", F.lit("ALL"))
-    return local.unionByName(world)
+    trending(t, "l_orderkey").join(order_videos(t), "video_id", "left").createOrReplaceTempView("categorised_rows")
+    return t.spark.sql(
+        """WITH counted AS (
+             SELECT country_dataset, category_name, count(*) AS n FROM categorised_rows GROUP BY ALL UNION ALL
+             SELECT 'ALL', category_name, count(*) FROM categorised_rows GROUP BY ALL)
+           SELECT *, n / sum(n) OVER (PARTITION BY country_dataset) AS share FROM counted"""
+    )
 
 
 def genre_names(t):
@@ -78,12 +73,8 @@ def genre_names(t):
 
 
 def plain_genres(t):
-    patterns = [(re.compile(p, re.IGNORECASE), label) for p, label in MUSIC_GENRE_RULES]
-
-    @F.udf(T.StringType())
-    def mapped(genre):
-        return next((label for pattern, label in patterns if pattern.search(genre)), "others")
-
+    ladder = [(re.compile(rule.pattern, re.IGNORECASE), rule.label) for rule in MUSIC_GENRE_RULES]
+    mapped = F.udf(lambda genre: next((label for p, label in ladder if p.search(genre)), "others"), T.StringType())
     return genre_names(t).select(mapped("genre"))
 
 
@@ -94,21 +85,6 @@ def plain_cascade(t):
     return genre_names(t).select(value)
 
 
-def durations(t):
-    parts = F.concat(F.lit("PT"), F.col("l_linenumber").cast("string"), F.lit("H"), F.col("l_quantity").cast("int").cast("string"), F.lit("M"))
-    return t.lineitem.select(parts.alias("d"))
-
-
-def plain_durations(t):
-    @F.udf(T.StringType())
-    def clock(value):
-        found = re.match(r"P(\d+D)?T(\d+H)?(\d+M)?(\d+S)?", value)
-        days, hours, minutes, secs = (int(g[:-1]) if g else 0 for g in found.groups())
-        return f"{days}.{hours:02}:{minutes:02}:{secs:02}"
-
-    return durations(t).select(clock("d"))
-
-
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("forms", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="16g")
@@ -122,7 +98,6 @@ def main() -> None:
         "first-match ladder, per distinct": (plain_genres, lambda t: rules.apply_per_distinct(genre_names(t), "genre", "label", rules.map_genre)),
         "cascade": (plain_cascade, lambda t: genre_names(t).select(rules.cascade("genre", CATALOGUE_GENRE_RULES))),
         "cascade, per distinct": (plain_cascade, lambda t: rules.apply_per_distinct(genre_names(t), "genre", "label", lambda c: rules.cascade(c, CATALOGUE_GENRE_RULES))),
-        "durations": (plain_durations, lambda t: durations(t).select(iso8601_to_time("d"))),
     }
     for name, (plain, ours) in cases.items():
         mine = seconds(lambda: ours(t))

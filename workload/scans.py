@@ -157,6 +157,22 @@ def _(t):
     return writers.merge_tables(t.spark, database, "shows", view, run_date="2024-05-06", base_path=base)
 
 
+@query(
+    "s13_merged_buckets",
+    """WITH updates AS (SELECT o_orderkey + 7000 AS show_id, o_totalprice AS price FROM orders WHERE o_orderpriority = '1-URGENT')
+       SELECT o_orderkey AS show_id, o_totalprice AS price FROM orders WHERE o_orderkey NOT IN (SELECT show_id FROM updates)
+       UNION ALL FROM updates""",
+)
+def _(t):
+    database, base = t.database(), t.scratch()
+    orders = t.orders.select(F.col("o_orderkey").alias("show_id"), F.col("o_totalprice").alias("price"), "o_orderpriority")
+    writers.publish_bucketed(orders.drop("o_orderpriority"), f"{database}.orders", "show_id", 16, base)
+    urgent = orders.where("o_orderpriority = '1-URGENT'").select((F.col("show_id") + 7000).alias("show_id"), "price")
+    view = f"{database}_updates"
+    writers.expose_view(urgent, view)
+    return writers.merge_tables(t.spark, database, "orders", view, base_path=base).drop("key_bucket")
+
+
 @query("s14_checkpoint", "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS doubled FROM orders")
 def _(t):
     table = f"{t.database()}.checkpoint"
