@@ -60,8 +60,9 @@ def plain_distribution(t):
     trending(t, "l_orderkey").join(order_videos(t), "video_id", "left").createOrReplaceTempView("categorised_rows")
     return t.spark.sql(
         """WITH counted AS (
-             SELECT country_dataset, category_name, count(*) AS n FROM categorised_rows GROUP BY ALL UNION ALL
-             SELECT 'ALL', category_name, count(*) FROM categorised_rows GROUP BY ALL)
+             SELECT country_dataset, category_name, count(*) AS n FROM categorised_rows
+             GROUP BY country_dataset, category_name UNION ALL
+             SELECT 'ALL', category_name, count(*) FROM categorised_rows GROUP BY category_name)
            SELECT *, n / sum(n) OVER (PARTITION BY country_dataset) AS share FROM counted"""
     )
 
