@@ -238,7 +238,9 @@ def tag_condensing_report(
     Tables: ``tag_counts``, ``per_video``, ``coverage`` (one row), ``histogram`` and ``nulls``.
     """
     exploded = explode_array(videos.select("video_id", "tags"), "tags", "tag", lower=True).where("tag != ''")
-    condensed = apply_per_distinct(exploded, "tag", "main_tag", lambda tag: last_match(tag, rules))
+    labelled = apply_per_distinct(exploded, "tag", "main_tag", lambda tag: last_match(tag, rules))
+    # Written once: the counts and the flags both start from it.
+    condensed = durable(labelled.select("video_id", "main_tag"))
     counts = stats.group_by_count(condensed, "main_tag")
     most_used = top_n(counts, [F.col("main_tag_count").desc(), F.col("main_tag").asc()], top)
     per_video = stats.flag_summary(flag_members(condensed, "main_tag", most_used, "top_x_tag"), "video_id", "top_x_tag")
