@@ -60,14 +60,15 @@ def save_to_db2(df: DataFrame, database: str, table: str, partition_by: list[str
     spark = df.sparkSession
     name = f"{database}.{table}"
     if not spark.catalog.tableExists(name):
-        writer = df.write.mode("overwrite").format("parquet")
+        writer = _gathered(df, partition_by).write.mode("overwrite").format("parquet")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
         return
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:
-        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        _gathered(df.select(*spark.table(name).columns), partitions).write.mode("overwrite").insertInto(name)
     finally:
         spark.conf.set(setting, before)
 
@@ -97,14 +98,16 @@ def publish(df: DataFrame, table: str, base_path: str | None = None, partition_b
 def _write_folder(df: DataFrame, table: str, base_path: str | None, partition_by: list[str] | None) -> str:
     root = base_path or shared_root(df.sparkSession)
     folder = f"{root}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
-    if partition_by:
-        # Rows of a partition come together, in as many tasks as its size asks for.
-        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by).parquet(folder)
-    else:
-        df.write.parquet(folder)
+    writer = _gathered(df, partition_by).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return folder
 
 
+def _gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Bring the rows of a partition together, in as many tasks as its size asks for, so that files are few and even."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def _same_layout(spark: SparkSession, table: str, df: DataFrame, partition_by: list[str] | None) -> bool:
     catalogued = spark.catalog.listColumns(table)
     partitions = [c.name for c in catalogued if c.isPartition]

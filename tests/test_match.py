@@ -88,3 +88,16 @@ def test_best_per_key(spark):
     assert rows(match.best_per_key(df, "k", "m", ties="one", tie_breakers=["id"]), "k", "id") == [("a", 1)]
     with pytest.raises(ValueError):
         match.best_per_key(df, "k", "m", ties="some")
+
+
+def test_no_titles_or_no_texts(spark):
+    left, right = frames(spark, TITLES, TEXTS)
+    assert match.match_titles(left.where("false"), right, "title", "text", "text_id").count() == 0
+    assert match.match_titles(left, right.where("false"), "title", "text", "text_id").count() == 0
+
+
+def test_shuffled_keys_equal_broadcast_keys(spark, monkeypatch):
+    monkeypatch.setattr(match, "BROADCAST_ROWS", -1)
+    left, right = frames(spark, TITLES, TEXTS)
+    out = match.match_titles(left, right, "title", "text", "text_id", min_length=1)
+    assert rows(out, "title", "text_id") == expected(TITLES, TEXTS)
