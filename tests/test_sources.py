@@ -112,7 +112,7 @@ def test_country_files_in_one_scan(spark, tmp_path):
     header = "video_id,title,publishedAt,channelId,channelTitle,categoryId,trending_date,tags,view_count,likes,dislikes,comment_count,thumbnail_link,comments_disabled,ratings_disabled,description\n"
     line = "{0},t,2024-01-01T00:00:00Z,c,n,10,2024-01-02T00:00:00Z,a|b,5,1,0,0,l,True,False,\"long\ntext\"\n"
     for country in ("US", "BR"):
-        (tmp_path / f"{country}_youtube.csv").write_text(header + line.format(country.lower()))
+        (tmp_path / f"{country}_trending.csv").write_text(header + line.format(country.lower()))
     ddl = schemas.RAW_TRENDING.rsplit(", category_name", 1)[0] + ", description string"
     df = readers.read_country_files(spark, str(tmp_path), ddl)
     assert rows(df, "video_id", "country_dataset", "channel_id") == [("br", "BR", "c"), ("us", "US", "c")]
