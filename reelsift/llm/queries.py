@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.llm import mixing, secrets, token_files
+from reelsift.llm import decontamination, mixing, near_duplicates, secrets, token_files, toxicity
 from reelsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_decontamination")
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    held_out = toxicity.id_remainder(F.col("doc_id")) == 2
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op5_mixed_sources")
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -48,6 +60,11 @@ def token_files_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc(token_files.token_files(docs, vocabulary("byte_bpe_50k.json")))
 
 
+@query("op9_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op10_secrets")
 def secrets_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
