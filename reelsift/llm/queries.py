@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.llm import decontamination, mixing, near_duplicates, secrets, token_files, toxicity
+from reelsift.llm import decontamination, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity
 from reelsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query("op3_suffix_dedup")
+def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op5_mixed_sources")
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
