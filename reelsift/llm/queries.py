@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.llm import decontamination, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity
+from reelsift.llm import decontamination, fingerprints, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity
 from reelsift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,15 @@ def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op4_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.with_neighbours(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.told(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.told(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", "n_within",
+    )
+
+
 @query("op5_mixed_sources")
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
