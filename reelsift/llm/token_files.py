@@ -15,7 +15,6 @@ without ``doc_id`` come first. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import ranges_for, slices
+from reelsift.llm.common import prefix_hashes, ranges_for, slices, span_hashes, text_buffers
 from reelsift.session import shared_root
 
 END_ID = 2
@@ -41,13 +40,28 @@ LAYOUT = {
     "parquet.enable.dictionary#local_start": "false",
 }
 #: Distinct pieces of text whose ids a Python worker keeps.
-MEMO_ENTRIES = 400_000
-_AFTER_TEXT = re.compile(r"(?<=\S) ")
-_AFTER_SPACE = re.compile(r"\s ")
+MEMO_ENTRIES = 2_000_000
+_SLICE = 1 << 20
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of all rows begin: at each row, and at each blank that follows a visible character.
+
+    A byte of a character that may be white space counts as white space, which makes fewer pieces and no others.
+    """
+    begins = np.zeros(len(data) + 1, bool)
+    if len(data) > 3:
+        after = data[:-1] > 32
+        after[1:] &= ~((data[:-2] == 0xC2) & ((data[1:-1] == 0x85) | (data[1:-1] == 0xA0)))
+        three = (data[:-3] >= 0xE1) & (data[:-3] <= 0xE3) & ((data[1:-2] == 0x80) | (data[1:-2] == 0x81) | (data[1:-2] == 0x9A))
+        after[2:] &= ~three
+        begins[1:-1] = (data[1:] == 32) & after
+    begins[offsets[:-1]] = True
+    return np.flatnonzero(begins[:-1])
 
 
 class PieceEncoder:
-    """Encodes a text piece by piece and keeps the ids of pieces met before.
+    """Encodes texts piece by piece; the ids of a piece are looked up once per slice, and kept for the next ones.
 
     A piece ends before a blank that follows a visible character. The vocabulary's splitting pattern never joins
     characters across such a place and looks no further ahead than the white space that follows, so the ids of the
@@ -60,25 +74,53 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.entries = entries
-        self.inner: dict[str, bytes] = {}  # the piece stands after a blank
-        self.first: dict[str, bytes] = {}
-
-    def _learn(self, memo: dict[str, bytes], pieces: list[str], lead: str) -> None:
-        done = self.tokenizer.encode_batch_fast([lead + p for p in pieces], add_special_tokens=False)
-        memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(pieces, done, strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        split = [t.split(" ") if not _AFTER_SPACE.search(t) and t[:1] != " " else _AFTER_TEXT.split(t) for t in texts]
-        heads = [s.pop(0) for s in split]
-        for memo, wanted, lead in ((self.first, set(heads), ""), (self.inner, set(chain.from_iterable(split)), " ")):
-            if missing := wanted - memo.keys():
-                if len(memo) + len(missing) > self.entries:
-                    memo.clear()
-                    missing = wanted
-                self._learn(memo, list(missing), lead)
-        inner, first = self.inner.__getitem__, self.first.__getitem__
-        return [first(h) + b"".join(map(inner, s)) for h, s in zip(heads, split, strict=True)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.checks, self.place, self.size = (np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
+        self.flat = np.zeros(0, "<i4")
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[bytes]) -> None:
+        done = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        size = np.array([len(x) for x in done], np.int64)
+        flat = np.fromiter(chain.from_iterable(done), "<i4", int(size.sum()))
+        place = len(self.flat) + np.cumsum(size) - size
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        for name, values in (("keys", keys), ("checks", checks), ("place", place), ("size", size)):
+            setattr(self, name, np.insert(getattr(self, name), at, values[order]))
+        self.flat = np.concatenate((self.flat, flat))
+
+    def _known(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key is, and whether it is the same piece's."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows, each row's followed by ``end_id``, and how many each row has."""
+        start = piece_starts(data, offsets)
+        end = np.append(start[1:], len(data)) if len(start) else start
+        keys, first, piece = np.unique(span_hashes(prefix_hashes(data), start, end), return_index=True, return_inverse=True)
+        padded = np.append(data, np.zeros(8, np.uint8))
+        checks = (end - start)[first].astype(np.uint64) << np.uint64(56)  # with the first bytes: tells other pieces of equal hash
+        for k in range(7):
+            inside = start[first] + k < end[first]
+            checks |= np.where(inside, padded[start[first] + k], 0).astype(np.uint64) << np.uint64(8 * k)
+        _, known = self._known(keys, checks)
+        if not known.all():
+            if len(self.keys) + int((~known).sum()) > self.entries:
+                self._forget()
+                known[:] = False
+            whole, new = data.tobytes(), first[~known]
+            pieces = [whole[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
+            self._learn(keys[~known], checks[~known], pieces)
+        at, _ = self._known(keys, checks)
+        flat, place, n = self.flat, self.place[at][piece], self.size[at][piece]
+        ids = flat[np.repeat(place - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        ends = np.append(0, np.cumsum(n))[np.searchsorted(start, offsets[1:])]
+        return np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -94,14 +136,11 @@ def encode_to_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int =
     """Write the ids of all ``docs`` (``doc_id``, ``text``) under ``folder``; ``tokenizer`` is the vocabulary's path."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, at = _encoder(tokenizer), np.array([end_id], "<u4").tobytes(), 0
-        for part in slices(batches, "text"):
-            coded = [x + end for x in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
-            lengths = np.array([len(x) // 4 for x in coded], np.int64)
+        encoder, at = _encoder(tokenizer), 0
+        for part in slices(batches, "text", _SLICE):
+            coded, lengths = encoder.encode(*text_buffers(part.column("text")), end_id)
             ends = np.cumsum(lengths)
-            ids = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(np.frombuffer(b"".join(coded), "<i4"))
-            )
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(coded))
             yield pa.RecordBatch.from_arrays(
                 [part.column("shard"), part.column("doc_id"), pa.array(at + ends - lengths), pa.array(lengths), ids],
                 ["shard", "doc_id", "local_start", "n_tokens", "ids"],
