@@ -162,8 +162,8 @@ def ordered_sums(df: DataFrame, keys: list[str], block: str, order: list[str], v
     within = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     sums = df.groupBy(*keys, block).agg(F.sum(value).alias("_block_sum"))
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_block_sum").over(across), F.lit(0))).drop("_block_sum")
+    sums = sums.withColumn("_blocks_before", F.coalesce(F.sum("_block_sum").over(across), F.lit(0))).drop("_block_sum")
     left, right = df.alias("_l"), sums.alias("_r")
     on = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in (*keys, block)]
-    joined = left.join(right, on).select("_l.*", "_r._before")
-    return joined.withColumn(out, F.col("_before") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_before")
+    joined = left.join(right, on).select("_l.*", "_r._blocks_before")
+    return joined.withColumn(out, F.col("_blocks_before") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_blocks_before")
