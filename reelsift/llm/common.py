@@ -19,6 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def splitting_pattern() -> str:
+    """The pattern that splits text before the merges of the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def task_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,26 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.llm import chat, decontamination, fingerprints, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity
-from reelsift.llm.common import table
+import corpus_pipeline
+from reelsift.llm import chat, decontamination, fingerprints, html_text, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity
+from reelsift.llm.common import splitting_pattern, table, vocabulary
 from reelsift.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def vocabulary(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def splitting_pattern() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.PATTERN
-
-
 def query(name: str, sql: str | None = None):
     def register(run: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = run
@@ -107,6 +96,11 @@ def chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(windows)
 
 
+@query("op7_html_text")
+def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query("op8_token_files")
 def token_files_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -122,3 +116,8 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def secrets_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.secrets_per_document(docs, vocabulary("byte_bpe_50k.tiktoken"), splitting_pattern())
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
