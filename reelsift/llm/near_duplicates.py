@@ -31,12 +31,14 @@ from reelsift.session import durable
 WORDS = 5
 THRESHOLD = 0.8
 TOLERANCE = 1e-9
-HASHES, STEP = 128, 16
+HASHES, STEP = 64, 8
 #: Sets that share a shingle and are paired there; more are compared as a group.
 PAIRED = 128
 BLOCK = 256
 #: A shingle is put last if this many sets of one task's documents have it, and at most so many shingles are.
 FREQUENT, MOST_FREQUENT = 4, 200_000
+#: Documents whose ids are sent to all tasks at most; the texts of more are shuffled.
+SENT_IDS = 500_000
 _MINHASH = np.frombuffer(mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64)).tobytes(), np.uint64).reshape(HASHES, 2)
 
 
@@ -48,13 +50,13 @@ def set_hashes(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def minhashes(tokens: np.ndarray) -> np.ndarray:
-    """``HASHES`` MinHash values of a set, 32 bits each."""
+    """``HASHES`` MinHash values of a set, 16 bits of each; that different ones look the same keeps pairs, it drops none."""
     if not len(tokens):
-        return np.zeros(HASHES, np.uint32)
-    out = np.empty(HASHES, np.uint32)
+        return np.zeros(HASHES, np.uint16)
+    out = np.empty(HASHES, np.uint64)
     for k in range(HASHES):
-        out[k] = ((tokens * (_MINHASH[k, 0] | np.uint64(1)) + _MINHASH[k, 1]) >> np.uint64(32)).min()
-    return out
+        out[k] = (tokens * (_MINHASH[k, 0] | np.uint64(1)) + _MINHASH[k, 1]).min()
+    return (out >> np.uint64(40)).astype(np.uint16)
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -78,7 +80,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _sets_and_frequent(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: 0: ``doc_id``, set, its size; 1: a shingle that is frequent in a task, how often, 0."""
+    """Rows of two kinds: 0: ``doc_id``, set, its size, its MinHash values (once in a task); 1: a shingle that is frequent in a task, how often."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -92,14 +94,16 @@ def _sets_and_frequent(docs: DataFrame) -> DataFrame:
         for part in slices(batches, "text"):
             tokens, offsets = shingle_sets(*text_buffers(part.column("text")), WORDS)
             sets, n = set_hashes(tokens, offsets), np.diff(offsets)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(n), np.int8)), part.column("doc_id"), _signed(sets), pa.array(n)], ["kind", "a", "b", "n"]
-            )
+            values: list[bytes | None] = [None] * len(n)
             for k in range(len(n)):
-                if int(sets[k]) not in seen:
+                if n[k] and int(sets[k]) not in seen:
                     seen.add(int(sets[k]))
                     held.append(tokens[offsets[k] : offsets[k + 1]])
                     held_n += int(n[k])
+                    values[k] = minhashes(held[-1]).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(n), np.int8)), part.column("doc_id"), _signed(sets), pa.array(n), pa.array(values, pa.binary())], ["kind", "a", "b", "n", "values"]
+            )
             if held_n > 2_000_000:
                 tokens_met, counts_met = merged()
                 held, held_n = [], 0
@@ -109,10 +113,11 @@ def _sets_and_frequent(docs: DataFrame) -> DataFrame:
         often = counts_met >= FREQUENT
         m = int(often.sum())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(m, np.int8)), _signed(tokens_met[often]), pa.array(counts_met[often]), pa.array(np.zeros(m, np.int64))], ["kind", "a", "b", "n"]
+            [pa.array(np.ones(m, np.int8)), _signed(tokens_met[often]), pa.array(counts_met[often]), pa.array(np.zeros(m, np.int64)), pa.nulls(m, pa.binary())],
+            ["kind", "a", "b", "n", "values"],
         )
 
-    return docs.mapInArrow(read, "kind byte, a long, b long, n long")
+    return docs.mapInArrow(read, "kind byte, a long, b long, n long, values binary")
 
 
 def _prefixes(docs: DataFrame, last: np.ndarray, threshold: float) -> DataFrame:
@@ -211,18 +216,16 @@ def _meetings(prefixes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _payloads(docs: DataFrame) -> DataFrame:
-    """``s, shingles, minhash`` of the sets of ``docs``."""
+    """``s, shingles`` of the sets of ``docs``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             tokens, offsets = shingle_sets(*text_buffers(part.column("text")), WORDS)
             sets = set_hashes(tokens, offsets)
-            each = [tokens[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [_signed(sets), pa.array([t.tobytes() for t in each], pa.binary()), pa.array([minhashes(t).tobytes() for t in each], pa.binary())], ["s", "shingles", "minhash"]
-            )
+            each = [tokens[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([_signed(sets), pa.array(each, pa.binary())], ["s", "shingles"])
 
-    return docs.mapInArrow(read, "s long, shingles binary, minhash binary")
+    return docs.mapInArrow(read, "s long, shingles binary")
 
 
 def _pruned(pairs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -233,7 +236,7 @@ def _pruned(pairs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 4096):
                 part = batch.slice(first, 4096)
-                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("ma", "mb"))
+                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(-1, HASHES) for c in ("ma", "mb"))
                 alive, matches = np.arange(part.num_rows), np.zeros(part.num_rows, np.int64)
                 for k, m in enumerate(least):
                     span = slice(k * STEP, (k + 1) * STEP)
@@ -269,9 +272,8 @@ def _linked(members: DataFrame, threshold: float) -> DataFrame:
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        s = group.column("s").to_numpy()
-        order = np.argsort(s)
-        s = s[order]
+        # Rows that repeat a document bring its set twice.
+        s, order = np.unique(group.column("s").to_numpy(), return_index=True)
         block, copies = group.column("block").to_numpy()[order], group.column("copies").to_numpy()[order]
         raw = group.column("shingles").to_pylist()
         sets = [np.frombuffer(raw[k], np.uint64) for k in order]
@@ -321,17 +323,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     meetings = durable(_meetings(prefixes, threshold).distinct())
     classes = documents.where("n > 0").groupBy("s").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"))
     pairs, crowds = meetings.where("NOT crowded").select("a", "b"), meetings.where("crowded").select("a", "b")
-    wanted = meetings.select(F.explode(F.array("a", "b")).alias("s")).distinct()
-    # One document of each set: a row without an id can't be looked up by it.
-    wanted = durable(classes.join(wanted, "s"))
-    ids = wanted.select(F.col("copy_of").alias("doc_id")).distinct()
-    payload = durable(_payloads(texts.join(ids, "doc_id", "left_semi")).join(wanted, "s").dropDuplicates(["s"]))
-    values = payload.select("s", "minhash")
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+    known = told.where("kind = 0 AND values IS NOT NULL").select(F.col("b").alias("s"), "values")
+    values = known.join(paired, "s").groupBy("s").agg(F.first("values").alias("values"))
     with_values = pairs.join(values.toDF("a", "ma"), "a").join(values.toDF("b", "mb"), "b")
     graph = durable(_pruned(with_values.select("a", "b", "ma", "mb"), threshold, tolerance).unionByName(crowds))
     groups = connected_components(graph)
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    members = groups.join(sizes, "component").withColumnRenamed("node", "s").join(payload, "s")
+    members = durable(groups.join(sizes, "component").withColumnRenamed("node", "s").join(classes, "s"))
+    # One document of each set brings its shingles.
+    ids = members.select(F.col("copy_of").alias("doc_id")).distinct()
+    few = members.count() <= SENT_IDS
+    wanted = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    members = members.join(_payloads(wanted), "s")
     linked = durable(_linked(members, threshold))
     roots = connected_components(linked.select(F.col("s").alias("a"), F.col("root").alias("b")))
     links = linked.groupBy("s").agg(F.sum("links").alias("links"))
