@@ -142,8 +142,13 @@ def matches(data: np.ndarray, offsets: np.ndarray, index: ItemIndex, q: int) ->
     bands = len(text) + 2 * base
     diagonal = np.repeat(hit, n) - at[row] - index.place[post] + base
     band = diagonal // step
-    keys = (row * len(index.items) + item) * bands + band
-    keys, counts = np.unique(np.concatenate((keys, keys - 1)), return_counts=True)
+    # A q-gram of the item counts once in a band, however often the text repeats it.
+    longest = base // 4 + 1
+    keys = ((row * len(index.items) + item) * bands + band) * longest + index.place[post]
+    keys = np.sort(np.concatenate((keys, keys - longest)))
+    keys = keys[np.diff(keys, prepend=-1) > 0] // longest
+    begins = np.flatnonzero(np.diff(keys, prepend=-1) > 0)
+    keys, counts = keys[begins], np.diff(np.append(begins, len(keys)))
     band, rest = keys % bands, keys // bands
     item, row = rest % len(index.items), rest // len(index.items)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
