@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,12 @@ def apply_scale_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_root() -> str:
+    """One temporary folder for all that this process writes."""
+    return tempfile.mkdtemp(prefix="reelsift-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor can read: ``spark.checkpoint.dir``, or a temporary one in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,7 +50,7 @@ def shared_root(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="reelsift-")
+    return _local_root()
 
 
 def durable(df: DataFrame) -> DataFrame:

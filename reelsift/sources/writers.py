@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift.functions.dates import run_date as run_date_column
-from reelsift.operators.dedup import display_duplicates, drop_duplicates_by_ordered_partition
-from reelsift.session import shared_root
+from reelsift.operators.dedup import display_duplicates, drop_duplicates_by_ordered_partition, total_order
+from reelsift.session import durable, shared_root
 
 UPDATE_DATE = "last_updated_date"
 KEY_BUCKET = "key_bucket"
@@ -77,24 +77,46 @@ def publish(df: DataFrame, table: str, base_path: str | None = None, partition_b
     """Write ``df`` to a new folder and point the table at it; return the table.
 
     The folder in use is never overwritten, so ``df`` may read the table it replaces, and a failed
-    write leaves the table as it was. One writer at a time; old folders are for the caller to expire.
+    write leaves the table as it was. A table that exists keeps its partitions and properties, unless
+    ``partition_by`` names other partitions. Where the layout changes, the new table is made under another
+    name and takes the old one's place when it is complete. One writer at a time; old folders are for the
+    caller to expire.
     """
     spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if exists and partition_by is None:
+        partition_by = [c for c in _partitions(spark, table) if c in df.columns]
     folder = _write_folder(df, table, base_path, partition_by)
-    if spark.catalog.tableExists(table):
-        if _same_layout(spark, table, df, partition_by):
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-            _refresh(spark, table, partition_by)
-            return spark.table(table)
-        spark.sql(f"DROP TABLE {table}")
+    if exists and _same_layout(spark, table, df, partition_by):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        _refresh(spark, table, partition_by)
+        return spark.table(table)
     written = spark.read.parquet(folder).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.fields)
     layout = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{layout} LOCATION '{folder}'")
+    properties = _properties(spark, table) if exists else {}
+    kept = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    made = f"{table}__{uuid.uuid4().hex[:12]}" if exists else table
+    spark.sql(f"CREATE TABLE {made} ({columns}) USING parquet{layout} LOCATION '{folder}'" + (f" TBLPROPERTIES ({kept})" if kept else ""))
+    if exists:
+        old = f"{table}__{uuid.uuid4().hex[:12]}"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {old}")
     _refresh(spark, table, partition_by)
     return spark.table(table)
 
 
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """What users have set on a table; the catalogue's own entries are left out."""
+    own = ("spark.sql.", "transient_", "numFiles", "totalSize", "option.", "EXTERNAL", "view.")
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if not r.key.startswith(own)}
+
+
 def _write_folder(df: DataFrame, table: str, base_path: str | None, partition_by: list[str] | None) -> str:
     root = base_path or shared_root(df.sparkSession)
     folder = f"{root}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
@@ -109,10 +131,8 @@ def _gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
 
 
 def _same_layout(spark: SparkSession, table: str, df: DataFrame, partition_by: list[str] | None) -> bool:
-    catalogued = spark.catalog.listColumns(table)
-    partitions = [c.name for c in catalogued if c.isPartition]
-    types = {c.name: c.dataType for c in catalogued}
-    return partitions == (partition_by or []) and types == {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    types = {c.name: c.dataType for c in spark.catalog.listColumns(table)}
+    return _partitions(spark, table) == (partition_by or []) and types == {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
 
 def _refresh(spark: SparkSession, table: str, partition_by: list[str] | None) -> None:
@@ -134,16 +154,22 @@ def publish_bucketed(df: DataFrame, table: str, key: str, buckets: int, base_pat
 
 
 def _merge_buckets(
-    target: DataFrame, updates: DataFrame, table: str, key: str, run_date, base_path: str | None
+    target: DataFrame, updates: DataFrame, table: str, key: str, run_date, base_path: str | None, **rules
 ) -> DataFrame:
-    """Upsert into the buckets that have updates; each is written anew and switched, the others stay untouched."""
+    """Upsert into the buckets that have updates; each is written anew and switched, the others stay untouched.
+
+    The switch is one call per bucket. After a failure among them some buckets are new and the others as before;
+    the same merge again mends that.
+    """
     spark = target.sparkSession
+    # Which buckets are touched and what goes into them must come from the same rows.
+    updates = durable(updates)
     buckets = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{KEY_BUCKET}s')").first().value)
     bucket = key_bucket(key, buckets)
     # At most one row per bucket.
     touched = [r[0] for r in updates.select(bucket.alias(KEY_BUCKET)).distinct().collect()]
     before = target.where(F.col(KEY_BUCKET).isin(touched)).drop(KEY_BUCKET)
-    merged = upsert(before, updates, key, run_date).withColumn(KEY_BUCKET, bucket)
+    merged = upsert(before, updates, key, run_date, **rules).withColumn(KEY_BUCKET, bucket)
     folder = _write_folder(merged, table, base_path, [KEY_BUCKET])
     for number in touched:
         partition, place = f"PARTITION ({KEY_BUCKET} = {number})", f"{folder}/{KEY_BUCKET}={number}"
@@ -165,18 +191,25 @@ def upsert(
     run_date: str | date | None = None,
     on_duplicate: str = "first",
     order_by: list | None = None,
+    null_keys: str = "append",
 ) -> DataFrame:
     """Target rows with their updates applied and new keys added.
 
     Updated and added rows get the run date as ``last_updated_date`` when the target has that column.
     Of several updates for a key the first in ``order_by`` (all columns by default) is taken, or with
-    ``on_duplicate="raise"`` an error raised.
+    ``on_duplicate="raise"`` an error raised. Updates without a key match nothing and are added, each of them and
+    every time, as MERGE does; with ``null_keys="raise"`` they are an error.
     """
+    named, unnamed = updates.where(F.col(key).isNotNull()), updates.where(F.col(key).isNull())
+    if null_keys == "raise" and not unnamed.isEmpty():
+        raise ValueError(f"updates without {key}")
     if on_duplicate == "raise":
-        if not display_duplicates(updates, key).isEmpty():
+        if not display_duplicates(named, key).isEmpty():
             raise ValueError(f"several updates for one {key}")
     else:
-        updates = drop_duplicates_by_ordered_partition(updates, key, order_by or updates.columns)
+        named = drop_duplicates_by_ordered_partition(named, key, order_by or total_order(updates))
+    # Written once: the same rows replace and are added, whatever the updates would give a second time.
+    updates = durable(named.unionByName(unnamed))
     stamped = updates
     if UPDATE_DATE in target.columns:
         stamped = updates.withColumn(UPDATE_DATE, run_date_column(run_date).cast(target.schema[UPDATE_DATE].dataType))
@@ -212,18 +245,35 @@ def merge_tables(
 ) -> DataFrame:
     """Upsert a view into a table by key: MERGE where the table format has it, else rewrite and switch.
 
-    A table from :func:`publish_bucketed` has only the buckets with updates rewritten.
+    A table from :func:`publish_bucketed` has only the buckets with updates rewritten. Others keep their partitions, if
+    ``partition_by`` names no others.
     """
-    name = f"{database}.{table}"
+    return merge_updates(f"{database}.{table}", spark.table(new_data_view), key, run_date, base_path, partition_by, view=new_data_view)
+
+
+def merge_updates(
+    name: str,
+    updates: DataFrame,
+    key: str = "show_id",
+    run_date: str | date | None = None,
+    base_path: str | None = None,
+    partition_by: list[str] | None = None,
+    view: str | None = None,
+    **rules,
+) -> DataFrame:
+    """:func:`merge_tables` of a DataFrame; ``rules`` are :func:`upsert`'s about duplicates and null keys."""
+    spark = updates.sparkSession
     target = spark.table(name)
     provider = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name == "Provider"]
     if provider and provider[0].lower() in {"delta", "iceberg"}:
-        spark.sql(merge_statement(name, new_data_view, target.columns, key))
+        if view is None:
+            view = f"updates_{uuid.uuid4().hex}"
+            updates.createOrReplaceTempView(view)
+        spark.sql(merge_statement(name, view, target.columns, key))
         return spark.table(name)
-    updates = spark.table(new_data_view)
     if KEY_BUCKET in target.columns:
-        return _merge_buckets(target, updates, name, key, run_date, base_path)
-    return publish(upsert(target, updates, key, run_date), name, base_path, partition_by)
+        return _merge_buckets(target, updates, name, key, run_date, base_path, **rules)
+    return publish(upsert(target, updates, key, run_date, **rules), name, base_path, partition_by)
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:

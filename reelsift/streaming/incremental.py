@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from reelsift.sources.writers import publish, upsert
+from reelsift.sources.writers import merge_updates
 
 
 def watch_folder(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None):
@@ -27,11 +27,14 @@ def start_upsert(
     clean: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     order_by: list | None = None,
 ) -> StreamingQuery:
-    """Clean every micro-batch and upsert it by key. A repeated batch leaves the table as it is, so retries are safe."""
+    """Clean every micro-batch and upsert it by key. A repeated batch leaves the table as it is, so retries are safe.
+
+    On a table from ``publish_bucketed`` a batch rewrites only the buckets it has keys of. Rows without a key end the
+    stream with an error, since a retry would add them again.
+    """
 
     def apply(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        publish(upsert(spark.table(table), clean(batch), key, order_by=order_by), table, base_path)
+        merge_updates(table, clean(batch), key, base_path=base_path, order_by=order_by, null_keys="raise")
         # Batches run in a session of their own; the caller's has to learn of the new folder.
         arriving.sparkSession.catalog.refreshTable(table)
 
