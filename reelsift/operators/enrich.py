@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsift.operators.dedup import drop_duplicates_by_ordered_partition
+from reelsift.operators.dedup import drop_duplicates_by_ordered_partition, total_order
 from reelsift.operators.reshape import add_not_found_rows
 from reelsift.operators.schema import ensure_column_existence
+from reelsift.session import durable
 
 NEW_FIRST = "new_first"
 NEW_ONLY = "new_only"
@@ -22,22 +23,18 @@ REQUEST_SIZES = {"video": 50, "audio_features": 100, "album": 20, "artist": 50}
 
 
 def pending_rows(df: DataFrame, columns: list[str] | None = None, flag: str | None = None, value=0) -> DataFrame:
-    """Rows still to be enriched: the flag has the pending value, or one of the columns is null."""
+    """Rows still to be enriched: the flag has the pending value, or one of the columns is null; all rows if neither is given."""
     conditions = [F.col(c).isNull() for c in columns or []]
     if flag:
         conditions.append(F.col(flag) == F.lit(value))
-    return df.where(reduce(or_, conditions))
+    return df.where(reduce(or_, conditions)) if conditions else df
 
 
 def _one_answer(answers: DataFrame, key: str, order_by: list | None) -> DataFrame:
-    order = order_by or [F.col(c) for c in answers.columns if not _is_map(answers, c)]
+    order = order_by or total_order(answers)
     return drop_duplicates_by_ordered_partition(answers.where(F.col(key).isNotNull()), key, order)
 
 
-def _is_map(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.MapType)
-
-
 def merge_answers(
     df: DataFrame,
     answers: DataFrame,
@@ -73,7 +70,8 @@ def enrich_videos(videos: DataFrame, answers: DataFrame, key: str = "video_id",
     videos = ensure_column_existence(videos, flag, "int", 0)
     asked = pending_rows(videos, flag=flag, value=0).select(key)
     answered = answers.withColumn(flag, F.lit(1)).join(asked, key, "left_semi")
-    every_asked = add_not_found_rows(_one_answer(answered, key, None), asked, key, flag)
+    # Written once: the missing ones are told from the answers, and both are merged.
+    every_asked = add_not_found_rows(durable(_one_answer(answered, key, None)), asked, key, flag)
     policy = {c: NEW_FIRST for c in every_asked.columns if c != key}
     return merge_answers(videos, every_asked, key, policy, unique_answers=True)
 

@@ -111,7 +111,8 @@ def match_titles(
         raise ValueError(f"rename the columns both sides have: {sorted(clash)}")
 
     wanted = titles.where(F.length(title) >= min_length)
-    per_title = title_keys(wanted.select(F.col(title).alias("__title")).distinct(), "__title")
+    # Written once: the titles are read for their keys, for the rarest of them and for the check.
+    per_title = durable(title_keys(wanted.select(F.col(title).alias("__title")).distinct(), "__title"))
     keyed_titles = per_title.select("__title", "__kind", F.explode("__keys").alias("__key"))
     # At most one row per kind of key: how many keys there are to look for.
     counts = {r[0]: r[1] for r in keyed_titles.groupBy("__kind").agg(F.count_distinct("__key")).collect()}
@@ -133,8 +134,15 @@ def match_titles(
         .agg(F.min_by("__key", F.struct("__texts", "__key")).alias("__key"), F.count("*").alias("__found"))
         # A title with a key that no text has cannot match.
         .where(F.col("__found") == F.col("__wanted"))
-        .select("__title", "__key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
+        .select("__title", "__key")
     )
+    rarest = durable(rarest)
+    # The other keys of the titles are no longer needed, and common ones are most of the rows.
+    rare_keys = rarest.select("__key").distinct()
+    if sum(counts.values()) <= BROADCAST_ROWS:  # one key per title, of all their keys
+        rare_keys = F.broadcast(rare_keys)
+    keyed_texts = keyed_texts.join(rare_keys, "__key", "left_semi")
+    rarest = rarest.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted_texts = keyed_texts.withColumn("__salt", F.pmod(F.xxhash64(text_id), F.lit(salts)).cast("int"))
     proposed = salted_texts.join(rarest, ["__key", "__salt"]).drop("__key", "__salt")
     if not inline_text:

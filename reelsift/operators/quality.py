@@ -73,7 +73,9 @@ def filter_non_english_values(
 
 
 def remove_values_by_prefix(df: DataFrame, column: str, prefixes: list[str]) -> DataFrame:
-    """Drop rows whose value starts with any of the literal prefixes; null values go as well."""
+    """Drop rows whose value starts with any of the literal prefixes; null values go as well. No prefixes means no filter."""
+    if not prefixes:
+        return df
     return df.where(~reduce(or_, [F.col(column).startswith(prefix) for prefix in prefixes]))
 
 

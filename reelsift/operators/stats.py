@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reelsift.functions.dates import truncate_time
 from reelsift.functions.text import as_list
 from reelsift.functions.values import ratio
+from reelsift.session import durable
 
 
 def group_by_count(df: DataFrame, columns: str | list[str]) -> DataFrame:
@@ -57,10 +58,11 @@ def pivot_counts(df: DataFrame, group_by: str, pivot: str, names: dict[str, str]
 def with_group_total(df: DataFrame, group_by: str, column: str, total: str) -> DataFrame:
     """Add the sum of ``column`` per group to every row.
 
-    A join with the totals rather than a window, so that a large group is not gathered in one task.
+    A join with the totals rather than a window, so that a large group is not gathered in one task. The rows without
+    a group are a group.
     """
-    totals = df.groupBy(group_by).agg(F.sum(column).alias(total))
-    return df.join(totals, group_by, "left")
+    totals = df.groupBy(F.col(group_by).alias("__group")).agg(F.sum(column).alias(total))
+    return df.join(totals, F.col(group_by).eqNullSafe(F.col("__group")), "left").drop("__group")
 
 
 def share_per_scope(
@@ -75,7 +77,8 @@ def share_per_scope(
     per_scope = (
         counts.withColumn(scope, F.explode(levels)).groupBy(scope, category).agg(F.sum(count).alias(count))
     )
-    whole = with_group_total(per_scope, scope, count, "__whole")
+    # Written once: the counts meet their own totals.
+    whole = with_group_total(durable(per_scope), scope, count, "__whole")
     return whole.withColumn(share, ratio(count, "__whole")).drop("__whole")
 
 
@@ -111,9 +114,10 @@ def tag_coverage(per_video: DataFrame, videos: DataFrame, tags: str, flag: str)
         F.sum("tags_count").alias("__tags"),
         F.sum(f"{flag}_count").alias("__flagged"),
         F.sum(f"has_{flag}").alias("__with_flag"),
-    ).withColumn("__one", F.lit(1))
-    totals = videos.agg(F.count("*").alias("__videos"), F.count(tags).alias("__tagged")).withColumn("__one", F.lit(1))
-    return totals.join(sums, "__one").select(
+    )
+    totals = videos.agg(F.count("*").alias("__videos"), F.count(tags).alias("__tagged"))
+    # One row by one row.
+    return totals.crossJoin(sums).select(
         F.col("__videos").alias("total_videos"),
         ratio("__tags", "__videos").alias("average_tags_per_video"),
         ratio("__tagged", "__videos").alias("share_with_tags"),

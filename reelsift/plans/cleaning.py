@@ -14,7 +14,7 @@ from reelsift.functions.money import box_office_to_eur
 from reelsift.functions.rules import apply_per_distinct, cascade
 from reelsift.functions.text import keyword_flag, strip_leading_comma
 from reelsift.functions.values import convert_string_boolean_to_int
-from reelsift.operators.dedup import drop_duplicates_by_ordered_partition, latest_per_key
+from reelsift.operators.dedup import drop_duplicates_by_ordered_partition, latest_per_key, total_order
 from reelsift.operators.joins import map_column, override_column
 from reelsift.operators.quality import keep_at_least, remove_values_by_prefix
 from reelsift.operators.reshape import move_values_between_columns
@@ -106,10 +106,11 @@ def _clean_trending_columns(raw: DataFrame) -> DataFrame:
     return ensure_list_column(raw.withColumnsRenamed(lookups.VIDEO_RENAMES), "tags", r"\|", lookups.NO_TAGS)
 
 
-def _by_views(keep_highest: bool) -> list:
+def _by_views(keep_highest: bool, rows: DataFrame) -> list:
+    """By views, likes and comments, and then by all columns, so that the row kept is always the same."""
     views = F.col("view_count")
     first = views.desc_nulls_last() if keep_highest else views.asc()
-    return [first, F.col("likes").desc_nulls_last(), F.col("comment_count").desc_nulls_last()]
+    return [first, F.col("likes").desc_nulls_last(), F.col("comment_count").desc_nulls_last(), *total_order(rows)]
 
 
 def trending_initial_cleaning(raw: DataFrame, keep_highest: bool = True) -> DataFrame:
@@ -118,7 +119,8 @@ def trending_initial_cleaning(raw: DataFrame, keep_highest: bool = True) -> Data
     The row with the most views stays, or with ``keep_highest=False`` the one with the fewest.
     """
     keys = ["video_id", "trending_date", "country_dataset"]
-    rows = drop_duplicates_by_ordered_partition(_clean_trending_columns(raw), keys, _by_views(keep_highest))
+    cleaned = _clean_trending_columns(raw)
+    rows = drop_duplicates_by_ordered_partition(cleaned, keys, _by_views(keep_highest, cleaned))
     return convert_bool_columns_to_int(rows)
 
 
@@ -128,7 +130,7 @@ def latest_videos(raw: DataFrame, keep_highest: bool = True) -> DataFrame:
     The row that cleaning keeps of the latest day is the first of the video in this order.
     """
     rows = _clean_trending_columns(raw)
-    return latest_per_key(rows, "video_id", "trending_date", ["country_dataset", *_by_views(keep_highest)])
+    return latest_per_key(rows, "video_id", "trending_date", ["country_dataset", *_by_views(keep_highest, rows)])
 
 
 def merged_videos(raw: DataFrame, keep_highest: bool = True) -> DataFrame:

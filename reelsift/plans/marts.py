@@ -55,7 +55,8 @@ def video_tags(bridge: DataFrame, tags: DataFrame) -> DataFrame:
 
 def _partial(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Sums and non-null counts of views, likes and likes per view, which add up over further grouping."""
-    measures = {"views": F.col("view_count"), "likes": F.col("likes"), "rate": ratio("likes", "view_count")}
+    # As doubles: sums of whole numbers could leave their range.
+    measures = {"views": F.col("view_count").cast("double"), "likes": F.col("likes").cast("double"), "rate": ratio("likes", "view_count")}
     return rows.groupBy(*keys).agg(
         F.count("*").alias("n"),
         *[F.sum(m).alias(f"{name}_sum") for name, m in measures.items()],
@@ -95,7 +96,7 @@ def tag_statistics(
     Tags of more than ``min_videos`` such videos. Every tag of a video counts.
     """
     columns = ["video_id", "trending_date", "country_dataset", "view_count", "likes"]
-    order = tie_breakers or ["country_dataset", F.col("view_count").desc()]
+    order = tie_breakers or ["country_dataset", F.col("view_count").desc(), F.col("likes").desc()]
     first = earliest_per_key(trending.select(*columns), "video_id", "trending_date", order)
     partials = _partial(first.where(F.col("view_count") > min_views), ["video_id"])
     return _tag_means(partials, bridge, tags, [], exclude).where(F.col("videos_count") > min_videos)
@@ -220,7 +221,8 @@ def best_trailers(
     if candidate is None:
         candidate = trailer_condition(F.col("title"), F.col("category_name"))
     trailers = videos.where(candidate).select("video_id", F.col("title").alias("video_title"))
-    matched = match.match_titles(titles, trailers, "streaming_title", "video_title", "video_id", inline_text=not long_texts)
+    # Written once: the matches say which figures are needed, and are then joined with them.
+    matched = durable(match.match_titles(titles, trailers, "streaming_title", "video_title", "video_id", inline_text=not long_texts))
     measures = {c: c for c in ("view_count", "likes", "dislikes", "comment_count")}
     wanted = matched.select("video_id").distinct()
     peaks = stats.column_wise_max(trending.join(wanted, "video_id", "left_semi"), "video_id", measures)

@@ -29,7 +29,8 @@ def tag_star(
     """
     keyed = translations.select(F.col("original_tag").alias("tag"), "translated_tag")
     raw = explode_array(videos.select("video_id", "tags"), "tags", "tag", lower=True).distinct()
-    translated = (
+    # Written once: the distinct tags and the bridge both start from it.
+    translated = durable(
         raw.join(keyed, "tag", "left")
         .select("video_id", F.coalesce("translated_tag", F.lit(placeholder)).alias("tag"))
         .distinct()

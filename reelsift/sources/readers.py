@@ -69,20 +69,33 @@ def read_country_files(spark: SparkSession, path: str, schema: T.StructType | st
     )
 
 
-def read_category_lookup(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """(category_id, category_name) from category files ``{"items": [{"id", "snippet": {"title"}}]}``."""
+def read_category_lookup(
+    spark: SparkSession, path: str, multi_line: bool = True, country: str | None = None
+) -> DataFrame:
+    """(category_id, category_name) from category files ``{"items": [{"id", "snippet": {"title"}}]}``.
+
+    With ``country`` each country has names of its own: the column of that name holds the country of the file.
+    """
     schema = "items array<struct<id: string, snippet: struct<title: string>>>"
-    items = spark.read.schema(schema).json(path, multiLine=multi_line).select(F.explode("items").alias("item"))
+    files = spark.read.schema(schema).json(path, multiLine=multi_line)
+    scopes = [file_country().alias(country)] if country else []
+    items = files.select(*scopes, F.explode("items").alias("item"))
     return (
-        items.groupBy(F.col("item.id").alias("category_id"))
+        items.groupBy(*([country] if country else []), F.col("item.id").alias("category_id"))
         .agg(F.min("item.snippet.title").alias("category_name"))
     )
 
 
-def add_category_name(df: DataFrame, lookup: DataFrame, column: str = "category_id") -> DataFrame:
-    """Add ``category_name`` by id; ids without a name give null."""
-    keyed = lookup.select(F.col("category_id").alias("__id"), "category_name")
-    return df.drop("category_name").join(keyed, F.col(column).cast("string") == F.col("__id"), "left").drop("__id")
+def add_category_name(
+    df: DataFrame, lookup: DataFrame, column: str = "category_id", country: str | None = None
+) -> DataFrame:
+    """Add ``category_name`` by id, and by ``country`` where given; ids without a name give null."""
+    scopes = [F.col(country).alias("__country")] if country else []
+    keyed = lookup.select(*scopes, F.col("category_id").alias("__id"), "category_name")
+    on = F.col(column).cast("string") == F.col("__id")
+    if country:
+        on &= F.col(country) == F.col("__country")
+    return df.drop("category_name").join(keyed, on, "left").drop("__id", "__country")
 
 
 def read_or_build(read: Callable[[], DataFrame], build: Callable[[], DataFrame]) -> DataFrame:
