@@ -252,3 +252,10 @@ def test_title_answers(spark):
 def test_search_hits(spark):
     assert one(spark, landed.top_search_hit("c"), c='[{"movieID": "1"}, {"movieID": "2"}]') == "1"
     assert one(spark, landed.top_search_hit("c"), c="[]") is None
+
+
+def test_mapping_types_do_not_depend_on_its_size(spark):
+    df = spark.range(3).withColumnRenamed("id", "c")
+    results = [values.map_column_values(df, {i: i for i in range(n)}, "c", "n", -1) for n in (1, 100, 101)]
+    assert len({str(r.schema) for r in results}) == 1
+    assert rows(results[1]) == rows(results[2])

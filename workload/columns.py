@@ -168,6 +168,17 @@ def _(t):
     ).drop("o_custkey")
 
 
+@query(
+    "f8_mapping_sizes",
+    """SELECT o_orderkey, CASE WHEN o_custkey < 100 THEN o_custkey * 2 ELSE -1 END AS at_limit, CASE WHEN o_custkey < 101 THEN o_custkey * 2 ELSE -1 END AS beyond FROM orders""",
+)
+def _(t):
+    df = t.orders.select("o_orderkey", "o_custkey")
+    for size, name in ((100, "at_limit"), (101, "beyond")):
+        df = values.map_column_values(df, {i: i * 2 for i in range(size)}, "o_custkey", name, -1)
+    return df.drop("o_custkey")
+
+
 @query(
     "f9_text_flags",
     """SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 0 END AS caption FROM lineitem""",

@@ -11,12 +11,12 @@ CUSTOMERS = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM
 
 @query(
     "s1_media_csv",
-    """SELECT doc_id::VARCHAR AS video_id, md5(text) AS title, doc_id::VARCHAR AS channel_id FROM documents WHERE n_chars > 0""",
+    """SELECT doc_id::VARCHAR AS video_id, md5(text) AS title, doc_id::VARCHAR AS channel_id FROM documents""",
 )
 def _(t):
     path = t.scratch()
     # Texts with quotes and line breaks, under the raw names.
-    rows = t.documents.where("n_chars > 0").select(
+    rows = t.documents.select(
         F.col("doc_id").cast("string").alias("video_id"), F.col("text").alias("title"), F.col("doc_id").alias("channelId")
     )
     writers.write_csv(rows, path)
@@ -49,9 +49,9 @@ def _(t):
     return t.spark.read.schema(schema).options(**readers.CSV_DIALECT).csv(path)
 
 
-@query("s5_parquet_scan", "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 45")
+@query("s5_parquet_scan", "SELECT l_orderkey, l_quantity FROM lineitem")
 def _(t):
-    return readers.read_parquet(t.spark, f"{t.folder}/lineitem.parquet").where("l_quantity > 45").select("l_orderkey", "l_quantity")
+    return readers.read_parquet(t.spark, f"{t.folder}/lineitem.parquet").select("l_orderkey", "l_quantity")
 
 
 @query("s6_scan_by_path", "SELECT o_orderkey, o_totalprice FROM orders")
@@ -108,6 +108,26 @@ def _(t):
     return readers.add_category_name(t.part.select("p_partkey", F.col("p_size").alias("category_id")), lookup).drop("category_id")
 
 
+@query(
+    "s10_country_category_names",
+    """SELECT p_partkey, country, CASE WHEN n.n_nationkey IS NOT NULL THEN n_name || ' ' || country END AS category_name
+       FROM (SELECT p_partkey, p_size, CASE WHEN p_partkey % 2 = 0 THEN 'BR' ELSE 'CA' END AS country FROM part) p
+       LEFT JOIN nation n ON p_size = n_nationkey AND (country = 'BR' OR n_nationkey < 10)""",
+)
+def _(t):
+    path = t.scratch()
+    # Both countries name the first ten ids, differently; the others are known in one country only.
+    for country, limit in (("BR", 1000), ("CA", 10)):
+        name = F.concat("n_name", F.lit(f" {country}"))
+        item = F.struct(F.col("n_nationkey").cast("string").alias("id"), F.struct(name.alias("title")).alias("snippet"))
+        known = t.nation.where(F.col("n_nationkey") < limit)
+        known.groupBy("n_regionkey").agg(F.collect_list(item).alias("items")).drop("n_regionkey").write.json(f"{path}/{country}_category_id")
+    lookup = readers.read_category_lookup(t.spark, f"{path}/*", multi_line=False, country="country")
+    country = F.when(F.col("p_partkey") % 2 == 0, "BR").otherwise("CA")
+    parts = t.part.select("p_partkey", F.col("p_size").alias("category_id"), country.alias("country"))
+    return readers.add_category_name(parts, lookup, country="country").drop("category_id")
+
+
 @query(
     "s11_appended_table",
     """SELECT c_custkey, c_name, NULL::DOUBLE AS c_acctbal FROM customer UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier""",
@@ -173,6 +193,40 @@ def _(t):
     return writers.merge_tables(t.spark, database, "orders", view, base_path=base).drop("key_bucket")
 
 
+@query(
+    "s13_partitioned_merge",
+    """SELECT o_orderkey AS show_id, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS price, o_orderstatus AS status, ['status'] AS partitions FROM orders
+       UNION ALL SELECT NULL, 1.0, 'F', ['status'] UNION ALL SELECT NULL, 2.0, 'O', ['status']""",
+)
+def _(t):
+    database, base = t.database(), t.scratch()
+    orders = t.orders.select(F.col("o_orderkey").alias("show_id"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"), "o_orderpriority")
+    writers.publish(orders.drop("o_orderpriority"), f"{database}.orders", base, ["status"])
+    urgent = orders.where("o_orderpriority = '1-URGENT'").select("show_id", (F.col("price") + 1).alias("price"), "status")
+    # Every update twice, and two without a key, which are both added.
+    nameless = t.spark.sql("SELECT CAST(NULL AS BIGINT) AS show_id, v.price, v.status FROM VALUES (1.0D, 'F'), (2.0D, 'O') AS v(price, status)")
+    view = f"{database}_updates"
+    writers.expose_view(urgent.unionByName(urgent).unionByName(nameless), view)
+    merged = writers.merge_tables(t.spark, database, "orders", view, base_path=base)
+    partitions = [c.name for c in t.spark.catalog.listColumns(f"{database}.orders") if c.isPartition]
+    return merged.withColumn("partitions", F.array(*[F.lit(p) for p in partitions]))
+
+
+@query(
+    "s13_merged_maps",
+    """SELECT o_orderkey AS show_id, CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE o_orderstatus END AS blocked FROM orders""",
+)
+def _(t):
+    database, base = t.database(), t.scratch()
+    orders = t.orders.select(F.col("o_orderkey").alias("show_id"), F.create_map(F.lit("blocked"), F.array("o_orderstatus")).alias("restriction"))
+    writers.publish_bucketed(orders, f"{database}.orders", "show_id", 8, base)
+    new = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("show_id"), F.create_map(F.lit("blocked"), F.array(F.lit("new"))).alias("restriction"))
+    view = f"{database}_updates"
+    writers.expose_view(new.unionByName(new), view)
+    merged = writers.merge_tables(t.spark, database, "orders", view, base_path=base)
+    return merged.select("show_id", F.col("restriction")["blocked"][0].alias("blocked"))
+
+
 @query("s14_checkpoint", "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS doubled FROM orders")
 def _(t):
     table = f"{t.database()}.checkpoint"
