@@ -20,6 +20,8 @@ MONEY_TOKENS = {
     "opening_weekend": (r"([A-Z]{2,3}\$?\d{1,3}(?:,\d{3})*|\$\d{1,3}(?:,\d{3})*)", 0),
     "cumulative_worldwide_gross": (r"([A-Za-z]*\$?[0-9,]+)", 1),
 }
+LEADING_CURRENCY = r"^(\D+)"
+LEADING_AMOUNT = r"^(\D+)(\d+)"
 
 
 def strip_braces(column: str | Column) -> Column:
@@ -44,8 +46,8 @@ def money_token(column: str | Column, field: str) -> Column:
 def extract_currency_and_amount(column: str | Column) -> tuple[Column, Column]:
     """Leading non-digits, and the digits that follow them as a double."""
     value = as_column(column)
-    currency = F.regexp_extract(value, r"^(\D+)", 1)
-    amount = F.regexp_extract(value, r"^(\D+)(\d+)", 2).try_cast("double")
+    currency = F.regexp_extract(value, LEADING_CURRENCY, 1)
+    amount = F.regexp_extract(value, LEADING_AMOUNT, 2).try_cast("double")
     return currency, amount
 
 

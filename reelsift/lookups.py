@@ -77,6 +77,7 @@ DEVANAGARI = r"[\u0900-\u097F]"
 THAI = r"[\u0E00-\u0E7F]"
 CYRILLIC = r"[\u0400-\u04FF]"
 NON_LATIN_BLOCKS = [JAPANESE, ARABIC, KOREAN, CHINESE, DEVANAGARI, THAI]
+NON_LATIN_AND_CYRILLIC_BLOCKS = [*NON_LATIN_BLOCKS, CYRILLIC]
 
 TITLE_OVERRIDES = {
     "nflx2639": "1000 Congratulations",

@@ -312,12 +312,12 @@ def _(t):
 
 @query(
     "f19_money_tokens",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 6 THEN '' ELSE {UNIT} || floor(l_extendedprice)::BIGINT END AS budget,
-        CASE WHEN l_linenumber = 6 THEN '' ELSE {UNIT} || floor(l_extendedprice)::BIGINT END AS opening_weekend FROM lineitem
-        WHERE l_returnflag <> 'R'""",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey,
+        CASE WHEN l_returnflag = 'R' THEN NULL WHEN l_linenumber = 6 THEN '' ELSE {UNIT} || floor(l_extendedprice)::BIGINT END AS budget,
+        CASE WHEN l_linenumber = 6 THEN '' ELSE {UNIT} || floor(l_extendedprice)::BIGINT END AS opening_weekend FROM lineitem""",
 )
 def _(t):
-    df = money.extract_box_office_data(box_office(t).where("l_returnflag <> 'R'"))
+    df = money.extract_box_office_data(box_office(t))
     return df.select(
         "l_orderkey", "l_linenumber", "l_partkey", *[money.money_token(f, f).alias(f) for f in ("budget", "opening_weekend")]
     )

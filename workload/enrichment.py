@@ -112,10 +112,10 @@ def _(t):
     return landed.audio_feature_columns(raw)
 
 
-def title_answers(t):
-    """Answers for parts with a large size, in the layout of a film database."""
+def title_answers(parts):
+    """Answers for parts, in the layout of a film database."""
     person = lambda name: F.struct(name.alias("name"))
-    df = t.part.where("p_size > 10").select("*", F.col("p_partkey").cast("string").alias("imdb_id"))
+    df = parts.select("*", F.col("p_partkey").cast("string").alias("imdb_id"))
     fields = {
         "countries": F.array("p_brand", "p_type"),
         "rating": F.col("p_size") / 10,
@@ -136,10 +136,10 @@ def title_answers(t):
        NULL::VARCHAR AS languages, CASE WHEN p_type = 'SMALL' THEN 'Yes' ELSE 'No' END AS color,
        CASE WHEN p_size > 40 THEN 'Yes' ELSE 'No' END AS top_250, 'Budget=$' || p_size AS box_office, p_name || ', ' || p_brand AS cast,
        CASE WHEN p_type <> 'PROMO' THEN p_type END AS director, NULL::VARCHAR AS production_companies, NULL::VARCHAR AS writers,
-       '2011-' AS series_years, NULL::VARCHAR AS release_date FROM part WHERE p_size > 10""",
+       '2011-' AS series_years, NULL::VARCHAR AS release_date FROM part""",
 )
 def _(t):
-    return landed.title_columns(title_answers(t))
+    return landed.title_columns(title_answers(t.part))
 
 
 @query(
@@ -185,7 +185,7 @@ def _(t):
         F.lit(1.0).alias("rating"),
         F.when(F.col("p_type") != "SMALL", "No").otherwise("Done").alias("is_scraped"),
     )
-    merged = enrich.enrich_titles(titles, landed.title_columns(title_answers(t)))
+    merged = enrich.enrich_titles(titles, landed.title_columns(title_answers(t.part.where("p_size > 10"))))
     return merged.select("show_id", "director", "cast", "rating", "is_scraped")
 
 

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from reelsift.operators import dims, joins, match
-from reelsift.operators.dedup import drop_duplicates_by_ordered_partition
+from reelsift.operators import dims, joins, match, stats
+from reelsift.operators.dedup import distinct_rows, drop_duplicates_by_ordered_partition
 from reelsift.plans import stars
 from reelsift.sources import writers
 from workload.registry import query
@@ -29,8 +29,8 @@ def _(t):
 
 @query("j3_left_differing_names", "SELECT p_partkey, p_name, c_name FROM part LEFT JOIN customer ON p_size = c_custkey AND c_nationkey < 10")
 def _(t):
-    customers = t.customer.where("c_nationkey < 10").select("c_custkey", "c_name")
-    return t.part.join(customers, F.col("p_size") == F.col("c_custkey"), "left").select("p_partkey", "p_name", "c_name")
+    customers = t.customer.where("c_nationkey < 10").withColumnRenamed("c_custkey", "p_size")
+    return joins.dimension_lookup(t.part, customers, "p_size", ["c_name"]).select("p_partkey", "p_name", "c_name")
 
 
 @query(
@@ -39,9 +39,8 @@ def _(t):
        ON l.l_orderkey = r.l_orderkey""",
 )
 def _(t):
-    left = t.lineitem.alias("l")
-    right = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("n")).alias("r")
-    return left.join(right, F.col("l.l_orderkey") == F.col("r.l_orderkey")).select("l.l_orderkey", "l.l_quantity", "r.n")
+    counts = stats.group_by_count(t.lineitem, "l_orderkey").withColumnRenamed("l_orderkey_count", "n")
+    return joins.dimension_lookup(t.lineitem.select("l_orderkey", "l_quantity"), counts, "l_orderkey", ["n"], "inner")
 
 
 def finished_orders(t):
@@ -86,8 +85,8 @@ def _(t):
        ON part.p_name = g.p_name""",
 )
 def _(t):
-    words = t.part.select("p_name", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("word")).distinct()
-    return t.part.join(words, "p_name").select("p_brand", "word").distinct()
+    words = distinct_rows(t.part.select("p_name", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("word")))
+    return distinct_rows(joins.dimension_lookup(t.part, words, "p_name", ["word"], "inner").select("p_brand", "word"))
 
 
 @query(

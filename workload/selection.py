@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from reelsift.operators import quality
+from reelsift.operators import joins, quality
 from reelsift.operators.dedup import display_duplicates
 from reelsift.operators.enrich import pending_rows
 from reelsift.operators.ranking import sort_rows, top_n
@@ -151,10 +151,10 @@ def _(t):
        WHERE l_extendedprice > 50000 AND p_type <> 'PROMO' GROUP BY p_brand HAVING count(*) > 100""",
 )
 def _(t):
-    rows = t.lineitem.where("l_extendedprice > 50000").join(
-        t.part.where("p_type <> 'PROMO'"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    return rows.groupBy("p_brand").agg(F.count("*").alias("videos_count")).where("videos_count > 100")
+    parts = t.part.where("p_type <> 'PROMO'").withColumnRenamed("p_partkey", "l_partkey")
+    rows = joins.dimension_lookup(t.lineitem.where("l_extendedprice > 50000"), parts, "l_partkey", ["p_brand"], "inner")
+    counts = group_by_count(rows, "p_brand").withColumnRenamed("p_brand_count", "videos_count")
+    return quality.keep_at_least(counts, "videos_count", 101)
 
 
 @query(
