@@ -81,7 +81,7 @@ def _plan(docs: DataFrame, weights: DataFrame | None, budget: float | None, seed
     end = F.max(F.col("target") / F.col("weight")).alias("_end")
     served = targets.agg(end, (F.lit(budget) if budget is not None else F.sum("source_size")).alias("_total")).first()
     end, total = float(served["_end"] or 1.0) or 1.0, served["_total"] or 0
-    copies = copies.withColumn("_range", F.least(F.floor(F.col("finish") / F.lit(end) * blocks), F.lit(2 * blocks)))
+    copies = copies.withColumn("_range", F.floor(F.col("finish") / F.lit(end) * blocks))
     served_before = ordered_sums(copies, [], "_range", ["finish", "source", "_shuffled", "doc_id"], "size", "_served")
     # A document is taken whole, if its middle lies within the budget.
     taken = served_before.where(F.col("_served") + F.col("size") / 2 <= F.lit(total))
