@@ -276,6 +276,38 @@ def merge_updates(
     return publish(upsert(target, updates, key, run_date, **rules), name, base_path, partition_by)
 
 
+def replace_by_key(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """All rows of ``target`` whose key is not in ``new``, and the rows of ``new``: several rows of a key are replaced together."""
+    new = durable(new)
+    return target.join(new.select(key).distinct(), key, "left_anti").select(*target.columns).unionByName(new.select(*target.columns))
+
+
+def merge_model(
+    spark: SparkSession,
+    database: str,
+    entities: dict[str, tuple[DataFrame, str]],
+    bridges: dict[str, tuple[DataFrame, str]] | None = None,
+    run_date: str | date | None = None,
+    base_path: str | None = None,
+) -> None:
+    """Bring a day's slice of a dimensional model into its tables.
+
+    ``entities`` are dimensions and facts with their key: rows are upserted, the ones of other days stay. ``bridges`` have
+    the key whose rows they replace together, such as the show's. Ids must come from the values themselves (hashed ids),
+    or the slices would disagree about them. A table that doesn't exist yet is made.
+    """
+    for name, (df, key) in entities.items():
+        table = f"{database}.{name}"
+        if spark.catalog.tableExists(table):
+            merge_updates(table, df, key, run_date, base_path)
+        else:
+            publish(drop_duplicates_by_ordered_partition(df, key, total_order(df)), table, base_path)
+    for name, (df, key) in (bridges or {}).items():
+        table = f"{database}.{name}"
+        rows = replace_by_key(spark.table(table), df, key) if spark.catalog.tableExists(table) else df
+        publish(rows, table, base_path)
+
+
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     at = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from reelsift.functions.values import map_literal
+from reelsift.operators import joins
+from reelsift.operators.ranking import hashed_id
 from reelsift.sources import readers, writers
 from workload.registry import query
 
@@ -227,6 +229,29 @@ def _(t):
     return merged.select("show_id", F.col("restriction")["blocked"][0].alias("blocked"))
 
 
+@query(
+    "s13_model_by_slices",
+    """WITH parts AS (
+         SELECT o_orderkey AS show_id, o_orderpriority AS label FROM orders WHERE o_orderstatus <> 'F'
+         UNION ALL SELECT o_orderkey, o_orderpriority || ' late' FROM orders WHERE o_orderstatus = 'F'
+       )
+       SELECT show_id, label FROM parts UNION ALL SELECT show_id, 'all' FROM parts""",
+)
+def _(t):
+    database, base = t.database(), t.scratch()
+    orders = t.orders.select(F.col("o_orderkey").alias("show_id"), F.col("o_orderpriority").alias("label"), "o_orderstatus")
+    # All orders on the first day, and the finished ones anew, with other labels, on the second.
+    late = orders.where("o_orderstatus = 'F'").withColumn("label", F.concat("label", F.lit(" late")))
+    for day in (orders, late):
+        shows = day.select("show_id", "o_orderstatus")
+        named = day.select("show_id", F.explode(F.array("label", F.lit("all"))).alias("label")).withColumn("label_id", hashed_id(F.col("label")))
+        labels = named.select("label_id", "label").distinct()
+        writers.merge_model(t.spark, database, {"shows": (shows, "show_id"), "labels": (labels, "label_id")}, {"shows_labels": (named.select("show_id", "label_id"), "show_id")}, base_path=base)
+    tables = {name: readers.read_table(t.spark, database, name) for name in ("shows", "labels", "shows_labels")}
+    bridge = joins.dimension_lookup(tables["shows_labels"], tables["labels"], "label_id", ["label"], "inner")
+    return joins.dimension_lookup(bridge, tables["shows"], "show_id", ["o_orderstatus"], "inner").select("show_id", "label")
+
+
 @query("s14_checkpoint", "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS doubled FROM orders")
 def _(t):
     table = f"{t.database()}.checkpoint"
