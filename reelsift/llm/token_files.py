@@ -15,6 +15,7 @@ without ``doc_id`` come first. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -69,6 +70,8 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str, entries: int = MEMO_ENTRIES):
+        # A task has one core; it is not to share out its batches over all of the machine's.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
