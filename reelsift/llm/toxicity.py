@@ -27,7 +27,7 @@ from reelsift.session import durable
 TRAIN_ROWS = 20_000
 LEXICON_SIZE = 1_000
 #: A learned word stands in this many toxic texts at least, and this many standard deviations above chance.
-LEAST_TOXIC, LEAST_DEVIATIONS = 3, 7.0
+LEAST_TOXIC, LEAST_DEVIATIONS = 3, 6.5
 THRESHOLD = 0.3
 NEAR_WORDS = 5
 TREES, DEPTH, STEP = 25, 3, 0.2
