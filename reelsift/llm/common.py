@@ -123,6 +123,14 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _MULTIPLIER)
 
 
+def packed(data: np.ndarray, q: int) -> np.ndarray:
+    """The ``q`` (at most 8) bytes from each place on as one integer."""
+    out = np.zeros(max(len(data) - q + 1, 0), np.uint64)
+    for k in range(q):
+        out |= data[k : k + len(out)].astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 

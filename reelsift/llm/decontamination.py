@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import slices, text_buffers
+from reelsift.llm.common import packed, slices, text_buffers
 
 Q = 8
 EDIT_RATE = 0.1
@@ -86,14 +86,6 @@ class ItemIndex:
         return ItemIndex([i for i, _ in kept], [t for _, t in kept], edits, lengths - q + 1 - q * edits, unique, np.append(first, len(whole)), item[order], place[order], present)
 
 
-def packed(data: np.ndarray, q: int) -> np.ndarray:
-    """The ``q`` (at most 8) bytes from each place on as one integer."""
-    out = np.zeros(max(len(data) - q + 1, 0), np.uint64)
-    for k in range(q):
-        out |= data[k : k + len(out)].astype(np.uint64) << np.uint64(8 * k)
-    return out
-
-
 def _slot(grams: np.ndarray) -> np.ndarray:
     return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
 

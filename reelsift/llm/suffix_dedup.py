@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import prefix_hashes, ranges_for, slices, span_hashes, task_partitions, text_buffers
+from reelsift.llm.common import packed, prefix_hashes, ranges_for, slices, span_hashes, task_partitions, text_buffers
 from reelsift.operators.ranking import global_row_number
 from reelsift.session import durable
 
@@ -35,7 +35,7 @@ ANCHOR = 24
 #: Places in one piece at most; longer runs, as in repetitions, are several pieces of the same key.
 PIECE_STARTS = 128
 #: Bytes of contested pieces that are sorted at once; a key is never divided.
-COLLECTION_BYTES = 1 << 20
+COLLECTION_BYTES = 1 << 19
 CROWDED = 50_000
 #: Pieces of one task among which equal ones are combined before the shuffle.
 COMBINED = 500_000
@@ -120,6 +120,10 @@ def _combined(docs: DataFrame, repeated: bool) -> DataFrame:
             held.append((doc[row], *rest))
             count += len(row)
             if repeated and own.any():
+                # Of equal pieces the earliest is enough; the others are repetitions throughout.
+                whole = np.lexsort((rest[0], doc[row], rest[3]))
+                whole = whole[np.diff(rest[3][whole], prepend=rest[3][whole[:1]] ^ np.uint64(1)) != 0]
+                own = whole[own[whole]]
                 yield within(data, offsets[row[own]] + rest[0][own], doc[row[own]], rest[0][own], rest[1][own])
             if count >= COMBINED:
                 yield combine(held)
@@ -169,20 +173,12 @@ def _resolved(pieces: DataFrame) -> DataFrame:
     return pieces.mapInArrow(read, "kind byte, key long, doc long, start long, n long")
 
 
-def _words_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The 8 bytes from each place on; ``data`` goes on 8 bytes further."""
-    out = np.zeros(len(at), np.uint64)
-    for k in range(8):
-        out |= data[at + k].astype(np.uint64) << np.uint64(8 * k)
-    return out
-
-
-def common_prefixes(data: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
-    """How many symbols from ``a`` and from ``b`` on are the same, up to ``limit``."""
+def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+    """How many bytes from ``a`` and from ``b`` on are the same, up to ``limit``; ``words`` has the 8 bytes from each place on."""
     out = np.zeros(len(a), np.int64)
     alive = np.arange(len(a))
     for done in range(0, limit, 8):
-        differ = _words_at(data, a[alive] + done) ^ _words_at(data, b[alive] + done)
+        differ = words[a[alive] + done] ^ words[b[alive] + done]
         lowest = differ & (~differ + np.uint64(1))
         same = np.where(differ == 0, 8, np.log2(np.maximum(lowest, 1).astype(np.float64)).astype(np.int64) // 8)
         out[alive] = done + same
@@ -190,56 +186,82 @@ def common_prefixes(data: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int)
     return np.minimum(out, limit)
 
 
+def column_symbols(data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, int]:
+    """A number for the column that begins at each place, in the order of the columns' bytes, and how many bytes a column has.
+
+    Columns are as wide, up to 4 bytes, as 16 bits can tell the different ones apart; past a piece's end (``left`` bytes
+    on) they are filled with zeros.
+    """
+    for width in (4, 3, 2):
+        whole = np.zeros(len(data), np.uint32)
+        for k in range(width):
+            value = np.zeros(len(data), np.uint32)
+            value[: max(len(data) - k, 0)] = data[k:]
+            value[left <= k] = 0
+            whole |= value << np.uint32(8 * (width - 1 - k))
+        there = np.sort(whole)
+        there = there[np.diff(there, prepend=there[0] ^ np.uint32(1)) != 0] if len(there) else there
+        if len(there) < 65_000:
+            return (np.searchsorted(there, whole) + 1).astype(np.uint16), width
+    return data.astype(np.uint16) + 1, 1
+
+
 def sorted_collection(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all suffixes of ``length`` symbols and more, in sorted order, and each one's common prefix with the one before.
+    """Places of all suffixes of ``length`` bytes and more, in sorted order, and each one's common prefix with the one before.
 
-    ``data`` holds the pieces one after another. Column by column from the pieces' ends, one symbol per piece and round:
+    ``data`` holds the pieces one after another. Column by column from the pieces' ends, one symbol per piece and round: a symbol is a
+    column of ``width`` bytes, and a piece is inserted ``width`` times, once from each of its first places, so that every place begins a suffix.
     ``bwt`` is the symbol before each suffix so far (0: none), in the order of the suffixes; ``at`` is where each piece's
     last suffix stands in it. The suffix with one more symbol stands behind all that begin with smaller symbols, and
     behind as many with its own as there are of it in ``bwt`` before ``at``.
     """
-    pieces = len(offsets) - 1
-    left = np.diff(offsets)
-    end = offsets[1:].copy()
-    padded = np.append(data, np.zeros(length + 8, np.uint8))
-    before = lambda place, open_: np.where(open_, padded[np.maximum(place - 1, 0)].astype(np.uint16) + 1, 0)
+    size = np.diff(offsets)
+    symbols, width = column_symbols(data, np.repeat(offsets[1:], size) - np.arange(len(data)))
+    words = packed(np.append(data, np.zeros(length + 16, np.uint8)), 8)
+    # A piece from each of its first places on: where that is, how many columns it has, and where its text ends.
+    begin = np.repeat(offsets[:-1], width) + np.tile(np.arange(width), len(size))
+    end = np.repeat(offsets[1:], width)
+    columns = np.maximum(-(-(end - begin) // width), 0)
+    pieces = len(begin)
     # Round 0: the empty suffixes, in the order of the pieces.
-    bwt = before(end, left > 0).astype(np.uint16)
-    piece, at = np.arange(pieces)[left > 0], np.arange(pieces)[left > 0]
+    piece = np.flatnonzero(columns)
+    at = piece
+    bwt = np.zeros(pieces, np.uint16)
+    bwt[piece] = symbols[begin[piece] + (columns[piece] - 1) * width]
     suffix = common = None
     done = 0
     while len(piece):
         done += 1
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
-        at = rank[at] - int((bwt == 0).sum()) + pieces
-        place = end[piece] - done
-        symbol = before(place, left[piece] > done).astype(np.uint16)
+        rank = np.empty(len(bwt), np.int32)
+        rank[order] = np.arange(len(bwt), dtype=np.int32)
+        at = rank[at] - int(np.count_nonzero(bwt == 0)) + pieces
+        place = begin[piece] + (columns[piece] - done) * width
+        going = columns[piece] > done
+        symbol = np.zeros(len(piece), np.uint16)
+        symbol[going] = symbols[place[going] - width]
         grown = np.empty(len(bwt) + len(piece), np.uint16)
         old = np.ones(len(grown), bool)
         old[at] = False
         grown[old], grown[at] = bwt, symbol
-        if done >= length:
+        if done * width >= length:
             if suffix is None:
-                suffix, common = np.full(len(bwt), -1, np.int64), np.zeros(len(bwt), np.uint8)
-            places, lcp = np.full(len(grown), -1, np.int64), np.zeros(len(grown), np.uint8)
-            places[old], places[at] = suffix, place
+                suffix, common = np.full(len(bwt), -1, np.int32), np.zeros(len(bwt), np.uint8)
+            places, lcp = np.empty(len(grown), np.int32), np.zeros(len(grown), np.uint8)
+            places[old], places[at] = suffix, np.where(end[piece] - place >= length, place, -1)
             lcp[old] = common
             for here in (at, np.minimum(at + 1, len(grown) - 1)):  # the new ones, and those that now stand behind them
-                pair = here[(here > 0) & (places[here] >= 0)]
-                pair = pair[places[pair - 1] >= 0]
-                lcp[pair] = common_prefixes(padded, places[pair - 1], places[pair], length)
-                short = here[(here > 0)]
-                lcp[short[(places[short] < 0) | (places[short - 1] < 0)]] = 0
+                lcp[here] = 0
+                pair = here[here > 0]
+                pair = pair[(places[pair] >= 0) & (places[pair - 1] >= 0)]
+                lcp[pair] = common_prefixes(words, places[pair - 1], places[pair], length)
             suffix, common = places, lcp
         bwt = grown
-        going = left[piece] > done
         piece, at = piece[going], at[going]
     if suffix is None:
         return np.zeros(0, np.int64), np.zeros(0, np.uint8)
     long = suffix >= 0
-    return suffix[long], common[long]
+    return suffix[long].astype(np.int64), common[long]
 
 
 def repeated_places(texts: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
