@@ -106,7 +106,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     before = places.select(follow.alias("place"), F.col("k").alias("k_before"), F.col("place").alias("place_before"), F.floor(F.col("n") / 2).cast("int").alias("needed"))
     plan = durable(places.join(before, "place"))
     texts = keyed.dropDuplicates(["doc_id", "k"]) if places.where("copies > 1").limit(1).count() else keyed
-    mine = texts.alias("t").join(plan.alias("p"), (F.col("t.k") == F.col("p.k")) & F.col("t.doc_id").eqNullSafe(F.col("p.doc_id")))
+    # Not an equality of two columns: as a second key it would be part of the partitioning, and the texts shuffled again for the next join.
+    same_id = F.coalesce("t.doc_id", F.lit(0)).bitwiseXOR(F.coalesce("p.doc_id", F.lit(0))) == 0
+    mine = texts.alias("t").join(plan.alias("p"), (F.col("t.k") == F.col("p.k")) & same_id)
     own = mine.select(F.col("t.k").alias("k"), "t.text", "p.place", "p.doc_id", "p.copies", F.length("t.text").alias("n"))
     heads = mine.select(F.col("p.k_before").alias("k"), F.col("p.place_before").alias("_place"), F.expr("substring(t.text, 1, p.needed)").alias("head"))
     both = own.join(heads, "k").where("place = _place")
