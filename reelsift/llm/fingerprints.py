@@ -111,7 +111,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     mine = texts.alias("t").join(plan.alias("p"), (F.col("t.k") == F.col("p.k")) & same_id)
     own = mine.select(F.col("t.k").alias("k"), "t.text", "p.place", "p.doc_id", "p.copies", F.length("t.text").alias("n"))
     heads = mine.select(F.col("p.k_before").alias("k"), F.col("p.place_before").alias("_place"), F.expr("substring(t.text, 1, p.needed)").alias("head"))
-    both = own.join(heads, "k").where("place = _place")
+    both = own.join(heads, "k").where(F.col("place").bitwiseXOR(F.col("_place")) == 0)
     edited = F.concat(F.expr("substring(text, 1, n - int(floor(n / 2)))"), F.col("head"))
     both = both.select("k", "place", "doc_id", "copies", F.col("n").cast("long").alias("n_chars"), "text", edited.alias("edited"))
     both = both.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
