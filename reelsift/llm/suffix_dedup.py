@@ -35,7 +35,7 @@ ANCHOR = 24
 #: Places in one piece at most; longer runs, as in repetitions, are several pieces of the same key.
 PIECE_STARTS = 128
 #: Bytes of contested pieces that are sorted at once; a key is never divided.
-COLLECTION_BYTES = 1 << 19
+COLLECTION_BYTES = 96 << 10
 CROWDED = 50_000
 #: Pieces of one task among which equal ones are combined before the shuffle.
 COMBINED = 500_000
@@ -189,18 +189,20 @@ def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int)
 def column_symbols(data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, int]:
     """A number for the column that begins at each place, in the order of the columns' bytes, and how many bytes a column has.
 
-    Columns are as wide, up to 4 bytes, as 16 bits can tell the different ones apart; past a piece's end (``left`` bytes
+    Columns are as wide, up to 8 bytes, as 16 bits can tell the different ones apart; past a piece's end (``left`` bytes
     on) they are filled with zeros.
     """
-    for width in (4, 3, 2):
-        whole = np.zeros(len(data), np.uint32)
-        for k in range(width):
-            value = np.zeros(len(data), np.uint32)
-            value[: max(len(data) - k, 0)] = data[k:]
-            value[left <= k] = 0
-            whole |= value << np.uint32(8 * (width - 1 - k))
-        there = np.sort(whole)
-        there = there[np.diff(there, prepend=there[0] ^ np.uint32(1)) != 0] if len(there) else there
+    widest = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        value = np.zeros(len(data), np.uint64)
+        value[: max(len(data) - k, 0)] = data[k:]
+        value[left <= k] = 0
+        widest |= value << np.uint64(8 * (7 - k))
+    ordered = np.sort(widest)
+    for width in (8, 6, 4, 3, 2):
+        shift = np.uint64(8 * (8 - width))
+        whole, there = widest >> shift, ordered >> shift
+        there = there[np.diff(there, prepend=there[:1] ^ np.uint64(1)) != 0]
         if len(there) < 65_000:
             return (np.searchsorted(there, whole) + 1).astype(np.uint16), width
     return data.astype(np.uint16) + 1, 1
