@@ -57,3 +57,14 @@ def test_rows_and_redaction(odd_docs, make_docs):
     assert sorted((r.doc_id, r.text) for r in clean.where("text IS NOT NULL").collect()) == [(1, "use [secret] or [secret]"), (2, "plain words")]
     assert secrets.secrets_per_document(odd_docs, RANKS, PATTERN).count() == odd_docs.count()
     assert secrets.secrets_per_document(odd_docs.limit(0), RANKS, PATTERN).count() == 0
+
+
+def test_keys_in_one_case_and_around_patterns(make_docs):
+    hexes, part = "0123456789abcdef01234567", "qZ7xK9wPv3Lm"
+    keys = ["qzxkvjwpqmznxbvclaksjdhfgtyr", "QZXKVJWPQMZNXBVCLAKSJDHFGTYR", 2 * part + hexes + 2 * part, part + hexes + part]
+    words = ["internationalization-and-localization", "anticonstitutionnellement", "MAX_CHARS_PER_TOKEN_LIMIT", "einpfschschheitpfkeit", "my_very_own_service_token=abcdefgh", "A1" * 20]
+    got = {r.doc_id: r for r in secrets.secrets_per_document(make_docs(list(enumerate([f"a {k} b" for k in keys + words]))), RANKS, PATTERN).collect()}
+    whole = lambda k: f"dense:2:{2 + len(k)}"
+    around = lambda n: f"dense:2:{2 + n},hex:{2 + n}:{26 + n},dense:{26 + n}:{26 + 2 * n}"
+    assert [got[k].spans for k in range(4)] == [whole(keys[0]), whole(keys[1]), around(24), around(12)]
+    assert [got[4 + k].n_dense for k in range(len(words))] == [0] * len(words)
