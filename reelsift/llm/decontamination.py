@@ -28,6 +28,8 @@ _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[65:91] += 32
 _FOLDED[9:14] = 32
 _BITS = 22
+#: Row, item, band and place are packed into one integer where they need less than this.
+_PACKED = 1 << 63
 
 
 def normalized(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,15 +66,19 @@ class ItemIndex:
     item: np.ndarray
     place: np.ndarray
     present: np.ndarray
+    #: By length, the items of fewer than ``q`` bytes: their bytes as integers, sorted, and their numbers in ``ids``.
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @staticmethod
     def of(rows: list[tuple[int, str]], q: int, rate: float) -> ItemIndex:
-        kept = []
+        kept, below = [], []
         for i, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
             folded = normalized(data, np.array([0, len(data)]))[0].tobytes().strip()
             if len(folded) >= q:
                 kept.append((i, folded))
+            elif folded:
+                below.append((i, folded))
         edits = np.array([budget(len(t), q, rate) for _, t in kept], np.int64)
         lengths = np.array([len(t) for _, t in kept], np.int64)
         grams = [packed(np.frombuffer(t, np.uint8), q) for _, t in kept]
@@ -83,7 +89,11 @@ class ItemIndex:
         unique, first = np.unique(whole[order], return_index=True)
         present = np.zeros(1 << _BITS, bool)
         present[_slot(unique)] = True
-        return ItemIndex([i for i, _ in kept], [t for _, t in kept], edits, lengths - q + 1 - q * edits, unique, np.append(first, len(whole)), item[order], place[order], present)
+        short = {}
+        for size in {len(t) for _, t in below}:
+            those = sorted((int.from_bytes(t, "little"), len(kept) + n) for n, (_, t) in enumerate(below) if len(t) == size)
+            short[size] = (np.array([t for t, _ in those], np.uint64), np.array([n for _, n in those], np.int64))
+        return ItemIndex([i for i, _ in kept + below], [t for _, t in kept], edits, lengths - q + 1 - q * edits, unique, np.append(first, len(whole)), item[order], place[order], present, short)
 
 
 def _slot(grams: np.ndarray) -> np.ndarray:
@@ -112,11 +122,51 @@ def aligned(item: bytes, region: bytes, low: int, width: int) -> tuple[int, int]
     return int(cost[best]), low + len(a) + best
 
 
+def _short_matches(text: np.ndarray, at: np.ndarray, index: ItemIndex) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item, start, end) of the first place of each item of fewer than ``q`` bytes in each row, in ``text``."""
+    for size, (wanted, item) in index.short.items():
+        grams = packed(text, size)
+        first = np.searchsorted(wanted, grams)
+        hit = np.flatnonzero(wanted[np.minimum(first, len(wanted) - 1)] == grams)
+        row = np.searchsorted(at, hit, side="right") - 1
+        within = hit + size <= at[row + 1]
+        hit, row = hit[within], row[within]
+        _, begins = np.unique(row * len(wanted) + first[hit], return_index=True)
+        for h, r in zip(hit[begins].tolist(), row[begins].tolist(), strict=True):
+            for n in range(int(first[h]), int(np.searchsorted(wanted, grams[h], side="right"))):
+                yield r, int(item[n]), h, h + size
+
+
+def _counted(pair: np.ndarray, band: np.ndarray, place: np.ndarray, pairs: int, bands: int, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pair and band of row and item that share q-grams, and how many of the item's places: each counts in its band and the one before."""
+    numbers = None
+    if pairs * bands * longest >= _PACKED:  # then pairs and bands are numbered as they occur, and keys are bounded by the hits
+        numbers, pair = np.unique(pair, return_inverse=True)
+    cells = pair * bands + band
+    if numbers is None:
+        keys = cells * longest + place
+        keys = np.sort(np.concatenate((keys, keys - longest)))
+        keys = keys[np.diff(keys, prepend=-1) > 0] // longest
+        begins = np.flatnonzero(np.diff(keys, prepend=-1) > 0)
+        cells, counts = keys[begins], np.diff(np.append(begins, len(keys)))
+        return cells // bands, cells % bands, counts
+    cells, cell = np.unique(np.concatenate((cells, cells - 1)), return_inverse=True)
+    counts = np.bincount(np.unique(cell * longest + np.concatenate((place, place))) // longest, minlength=len(cells))
+    return numbers[cells // bands], cells % bands, counts
+
+
 def matches(data: np.ndarray, offsets: np.ndarray, index: ItemIndex, q: int) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item, edits, start, end) of the best place of each item in each row; start and end are bytes of ``data``."""
     text, at, place = normalized(data, offsets)
-    if len(text) < q or not len(index.grams):
-        return
+    best: dict[tuple[int, int], tuple[int, int, int]] = {(r, i): (0, int(place[a]), int(place[b - 1]) + 1) for r, i, a, b in _short_matches(text, at, index)}
+    if len(text) >= q and len(index.grams):
+        _long_matches(text, at, place, index, q, best)
+    for (r, i), (edits, begin, end) in sorted(best.items()):
+        yield r, i, edits, begin - int(offsets[r]), end - int(offsets[r])
+
+
+def _long_matches(text: np.ndarray, at: np.ndarray, place: np.ndarray, index: ItemIndex, q: int, best: dict[tuple[int, int], tuple[int, int, int]]) -> None:
+    """Puts (edits, start, end) of the best place of each item of ``q`` bytes and more in each row into ``best``."""
     grams = packed(text, q)
     hit = np.flatnonzero(index.present[_slot(grams)])
     found = np.minimum(np.searchsorted(index.grams, grams[hit]), len(index.grams) - 1)
@@ -136,14 +186,8 @@ def matches(data: np.ndarray, offsets: np.ndarray, index: ItemIndex, q: int) ->
     band = diagonal // step
     # A q-gram of the item counts once in a band, however often the text repeats it.
     longest = base // 4 + 1
-    keys = ((row * len(index.items) + item) * bands + band) * longest + index.place[post]
-    keys = np.sort(np.concatenate((keys, keys - longest)))
-    keys = keys[np.diff(keys, prepend=-1) > 0] // longest
-    begins = np.flatnonzero(np.diff(keys, prepend=-1) > 0)
-    keys, counts = keys[begins], np.diff(np.append(begins, len(keys)))
-    band, rest = keys % bands, keys // bands
-    item, row = rest % len(index.items), rest // len(index.items)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    pair, band, counts = _counted(row * len(index.items) + item, band, index.place[post], len(at) * len(index.items), bands, longest)
+    item, row = pair % len(index.items), pair // len(index.items)
     for k in np.flatnonzero(counts >= index.needed[item]):
         i, r = int(item[k]), int(row[k])
         e, wanted = int(index.edits[i]), index.items[i]
@@ -162,8 +206,6 @@ def matches(data: np.ndarray, offsets: np.ndarray, index: ItemIndex, q: int) ->
         spot = (edits, int(place[at[r] + start + begin]), int(place[at[r] + start + end - 1]) + 1)
         if (r, i) not in best or spot < best[r, i]:
             best[r, i] = spot
-    for (r, i), (edits, begin, end) in sorted(best.items()):
-        yield r, i, edits, begin - int(offsets[r]), end - int(offsets[r])
 
 
 def _passes(benchmark: DataFrame, q: int, rate: float) -> Iterator[ItemIndex]:
@@ -179,8 +221,8 @@ def _passes(benchmark: DataFrame, q: int, rate: float) -> Iterator[ItemIndex]:
 def contamination(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE) -> DataFrame:
     """``doc_id, item_id, edits, start_byte, end_byte``: each item found in each row of ``docs``, at its best place.
 
-    Whole texts; null and empty texts have no matches. Items shorter than ``q`` bytes, null or empty are not looked
-    for; an item without id is reported as -1. Each repeated row is reported. An empty benchmark gives no rows.
+    Whole texts; null and empty texts have no matches. Items shorter than ``q`` bytes are found as they are, without
+    edits; null and empty ones are not looked for. An item without id is reported as -1. Each repeated row is reported. An empty benchmark gives no rows.
     """
 
     def search(index: ItemIndex):

@@ -89,3 +89,32 @@ def test_repeated_words_are_not_matches():
     index = dc.ItemIndex.of([(0, "the and the other and the one and the last of the")], dc.Q, dc.EDIT_RATE)
     data = np.frombuffer(b"the and " * 3000, np.uint8)
     assert list(dc.matches(data, np.array([0, len(data)]), index, dc.Q)) == []
+
+
+def test_many_items_and_a_very_long_one():
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    items = [(k, word(24)) for k in range(35_000)] + [(-5, word(200_000))]
+    index = dc.ItemIndex.of(items, dc.Q, dc.EDIT_RATE)
+    wanted = [rng.randrange(35_000) for _ in range(1_000)]
+    texts = [f"{word(10)} {items[k][1][:-1]} {word(10)}".encode() for k in wanted]
+    offsets = np.cumsum([0, *map(len, texts)])
+    found = [(r, index.ids[i]) for r, i, *_ in dc.matches(np.frombuffer(b"".join(texts), np.uint8), offsets, index, dc.Q)]
+    assert found == list(enumerate(wanted))
+
+
+def test_forms_of_counting_agree(items, prose, monkeypatch):
+    index = dc.ItemIndex.of([r for r in items if r[1]], dc.Q, dc.EDIT_RATE)
+    texts = [f"{prose(9, k)} {items[k % 20][1]} {prose(9, 50 + k)}".encode() for k in range(60)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    packed = list(dc.matches(data, offsets, index, dc.Q))
+    monkeypatch.setattr(dc, "_PACKED", 0)
+    assert list(dc.matches(data, offsets, index, dc.Q)) == packed and len(packed) >= 60
+
+
+def test_items_of_few_bytes(spark, make_docs):
+    bench = spark.createDataFrame([(1, "Qed"), (2, "QED "), (3, "x"), (4, "seven 7"), (5, "  ")], "item_id long, text string")
+    docs = make_docs([(1, "so  qed, QED"), (2, "q"), (3, "ed"), (4, "é seven \n7"), (5, None), (6, "no")])
+    found = sorted((r.doc_id, r.item_id, r.edits, r.start_byte, r.end_byte) for r in dc.contamination(docs, bench).collect())
+    assert found == [(1, 1, 0, 4, 7), (1, 2, 0, 4, 7), (4, 4, 0, 3, 11)]
+    assert sorted(r.doc_id for r in dc.without_benchmark(docs, bench).collect()) == [2, 3, 5, 6]
