@@ -11,6 +11,9 @@ Layout of a folder:
 
 Null and empty texts are one end id. Repeated ``doc_id`` are written next to each other, ordered by text; rows
 without ``doc_id`` come first. Other columns are ignored.
+
+A text cannot make a special token: ``<|endoftext|>`` in a text becomes the ids of its characters, where the tokenizer's plain
+``encode(text, add_special_tokens=False)`` gives the added token's one id. Other texts have the same ids either way.
 """
 
 from __future__ import annotations

@@ -86,3 +86,12 @@ def test_memory_is_bounded(monkeypatch):
         ids, _ = encoder.encode(*common.text_buffers(texts), 2)
         assert ids.tolist() == ids_of(encoder.tokenizer, texts[0].as_py())
         assert len(encoder.keys) <= 50
+
+
+def test_ids_of_the_plain_call_but_for_the_special_token(spark, make_docs, prose, tmp_path):
+    plain = Tokenizer.from_file(PATH)
+    texts = [prose(40, k) for k in range(5)] + ["", "<|endoftext", "a <|endoftext|> b"]
+    token_files.encode_to_files(make_docs(list(enumerate(texts))), str(tmp_path / "t"), PATH)
+    got = {r.doc_id: list(r.ids) for r in token_files.read_tokens(spark, str(tmp_path / "t"), ("doc_id", "ids")).collect()}
+    assert all(got[k] == ids_of(plain, t) for k, t in enumerate(texts[:-1]))
+    assert 50256 in ids_of(plain, texts[-1]) and 50256 not in got[7] and plain.decode(got[7][:-1]) == texts[-1]
