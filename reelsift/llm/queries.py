@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelsift.llm import chat, decontamination, fingerprints, html_text, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity
+from reelsift.llm import (
+    chat, decontamination, fingerprints, html_text, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity, vector_codes,
+)
 from reelsift.llm.common import splitting_pattern, table, vocabulary
 from reelsift.session import durable
 
@@ -118,6 +120,45 @@ def secrets_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_per_document(docs, vocabulary("byte_bpe_50k.tiktoken"), splitting_pattern())
 
 
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Lloyd's rounds one after another, every distance component by component."""
+
+    def nearest(k: int) -> str:
+        return (
+            f"a{k} AS MATERIALIZED (SELECT r, p, min(d * {vector_codes.ENTRIES} + e) AS best FROM"
+            f" (SELECT r, p, e, sum((c.x - b.x) * (c.x - b.x)) AS d FROM components c JOIN b{k} b USING (p, j) GROUP BY r, p, e) GROUP BY r, p)"
+        )
+
+    def updated(k: int) -> str:
+        return (
+            f"b{k + 1} AS MATERIALIZED (SELECT p, e, j, coalesce(m, x) AS x FROM b{k} LEFT JOIN (SELECT p, CAST(best % {vector_codes.ENTRIES} AS BIGINT) AS e, j,"
+            f" CAST(floor(sum(x)::DOUBLE / count(*)) AS BIGINT) AS m FROM components JOIN a{k} USING (r, p) GROUP BY ALL) USING (p, e, j))"
+        )
+
+    steps = ", ".join(f"{nearest(k)}, {updated(k)}" for k in range(rounds))
+    return f"""WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * {vector_codes.SCALE}) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), listed AS (
+  SELECT r, len(v) // {vector_codes.PARTS} AS w, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS k FROM kept
+), components AS MATERIALIZED (
+  SELECT r, k // w AS p, k % w AS j, x FROM listed
+), b0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, j, x FROM components WHERE r <= {vector_codes.ENTRIES}
+), {steps}, {nearest(rounds)}, codes AS (
+  SELECT r, string_agg(format('{{:02x}}', CAST(best % {vector_codes.ENTRIES} AS BIGINT)), '' ORDER BY p) AS code,
+    CAST(sum(best // {vector_codes.ENTRIES}) AS BIGINT) AS error FROM a{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, j)) FROM b{rounds}) AS codebooks_sha256
+FROM kept JOIN codes USING (r)"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def vector_codes_of_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes_with_label_errors(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
