@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reelsift.llm import (
-    chat, decontamination, fingerprints, html_text, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity, vector_codes,
+    chat, conversation_repair, decontamination, fingerprints, html_text, mixing, near_duplicates, secrets, suffix_dedup, token_files, toxicity, vector_codes,
+    vector_search,
 )
 from reelsift.llm.common import splitting_pattern, table, vocabulary
 from reelsift.session import durable
@@ -120,6 +121,72 @@ def secrets_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_per_document(docs, vocabulary("byte_bpe_50k.tiktoken"), splitting_pattern())
 
 
+@query("op11_nearest_vectors")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+_REPAIR_SQL = r"""WITH RECURSIVE bits AS (
+  SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) r(n)
+), crc_table AS (
+  SELECT list(t ORDER BY n) AS table_ FROM bits
+), given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+  FROM conversations
+), hit AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, table_[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS harm
+  FROM given, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE harm > 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS nth FROM damaged
+), faults AS (
+  SELECT conv_id, turn, role, text, nth, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nth) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault,
+    CASE substr(role, 1, 1) WHEN 's' THEN 's' WHEN 'u' THEN 'u' WHEN 'a' THEN 'a' ELSE '-' END AS initial,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY nth) AS before
+  FROM placed
+), told AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (nth > 1 AND before || substr(role, 1, 1) NOT IN ('su', 'ua', 'au')) AS illegal, max(nth) AS rows
+  FROM faults GROUP BY conv_id
+), letters(state, letter, need, next, price) AS (
+  VALUES (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0), (0, 'R', '', 2, 2), (1, 'R', '', 2, 2),
+    (3, 'R', '', 2, 2), (2, 'R', '', 3, 2), (0, 'D', '', 0, 3), (1, 'D', '', 1, 3), (2, 'D', '', 2, 3), (3, 'D', '', 3, 3)
+), inserts(state, added, reached, paid) AS (
+  VALUES (0, '', 0, 0), (1, '', 1, 0), (2, '', 2, 0), (3, '', 3, 0), (0, 'I', 2, 2), (1, 'I', 2, 2), (2, 'I', 3, 2), (3, 'I', 2, 2), (0, 'II', 3, 4), (1, 'II', 3, 4), (2, 'II', 2, 4), (3, 'II', 3, 4)
+), ways AS (
+  SELECT i.state, added || letter AS edit, added, reached, letter, need, next, paid + price AS cost FROM inserts i JOIN letters l ON l.state = i.reached
+), walk AS (
+  SELECT conv_id, rows, 0 AS nth, 0 AS state, {'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS best FROM told
+  UNION ALL
+  SELECT w.conv_id, w.rows, w.nth + 1, y.next, min({'cost': w.best.cost + y.cost + CASE WHEN f.fault = 't' AND y.letter <> 'D' THEN 1 ELSE 0 END, 'audit': w.best.audit || y.edit,
+    'lines': w.best.lines || CASE WHEN y.added = '' THEN CAST([] AS VARCHAR[]) WHEN y.added = 'I' THEN [CASE y.reached WHEN 2 THEN 'user:' ELSE 'assistant:' END]
+      ELSE [CASE y.reached WHEN 3 THEN 'user:' ELSE 'assistant:' END, CASE y.reached WHEN 3 THEN 'assistant:' ELSE 'user:' END] END
+      || CASE y.letter WHEN 'D' THEN CAST([] AS VARCHAR[]) WHEN 'K' THEN [f.role || ':' || f.text] ELSE [CASE y.next WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || f.text] END})
+  FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.nth = w.nth + 1 JOIN ways y ON y.state = w.state
+  WHERE (y.need = '' OR y.need = f.initial) AND (y.letter = 'D' OR f.fault NOT IN ('b', 'd'))
+  GROUP BY w.conv_id, w.rows, w.nth, y.next
+), closed AS (
+  SELECT conv_id, min({'cost': best.cost + CASE state WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END, 'audit': best.audit || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    'lines': best.lines || CASE state WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE CAST([] AS VARCHAR[]) END}) AS best
+  FROM walk WHERE nth = rows GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN told t ON c.conv_id IS NOT DISTINCT FROM t.conv_id LEFT JOIN closed d ON c.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+
+@query("op12_repaired_conversations", _REPAIR_SQL)
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair_report(conversation_repair.damaged(turns), turns)
+
+
 def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
     """Lloyd's rounds one after another, every distance component by component."""
 
