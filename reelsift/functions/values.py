@@ -29,20 +29,21 @@ def map_column_values(
     """Look the column up in ``mapping``; keys that are missing, or mapped to null, give ``default``.
 
     Large mappings become a lookup table, because a map literal is searched key by key. The types are those of the
-    table in either form (whole numbers are ``bigint``), so one more entry never changes the result.
+    table in either form (whole numbers are ``bigint``), so one more entry never changes the result; the result's type is the
+    one that holds the values and the default. A value that is none of the keys' type (text where they are numbers) is missing.
     """
     target = new_column or column
     if not mapping:
         return df.withColumn(target, F.lit(default))
     lookup = inline_table(df.sparkSession, list(mapping.items()), ["__key", "__value"])
     key_type, value_type = (lookup.schema[c].dataType for c in ("__key", "__value"))
-    default_value = F.lit(default) if isinstance(value_type, T.NullType) else F.lit(default).cast(value_type)
+    default_value = F.lit(default)
     if len(mapping) <= MAP_LITERAL_LIMIT:
         literal = map_literal(mapping).cast(T.MapType(key_type, value_type))
-        return df.withColumn(target, F.coalesce(literal[F.col(column).cast(key_type)], default_value))
+        return df.withColumn(target, F.coalesce(literal[F.col(column).try_cast(key_type)], default_value))
     order = df.columns if target in df.columns else [*df.columns, target]
     return (
-        df.join(lookup, F.col(column).cast(key_type) == F.col("__key"), "left")
+        df.join(lookup, F.col(column).try_cast(key_type) == F.col("__key"), "left")
         .withColumn(target, F.coalesce("__value", default_value))
         .select(*order)
     )

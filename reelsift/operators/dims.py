@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions.text import as_column
 from reelsift.operators.ranking import dense_ids, hashed_id
+from reelsift.session import durable
 
 
 def list_parts(column: str | Column, separator: str = ",", trim: bool = True) -> Column:
@@ -50,3 +51,15 @@ def create_association_table(
     if dimension is None:
         return pairs.select(left_id, hashed_id(F.col(name)).alias(right_id))
     return pairs.join(dimension, name, "left").select(left_id, right_id)
+
+
+def keyed_dimension_and_bridge(
+    df: DataFrame, keys, column: str, name: str, left_id: str, right_id: str, separator: str = ",", trim: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Dimension (name, id) and bridge of a slice, with the ids of a :class:`~reelsift.sources.keytable.KeyTable`.
+
+    Names the table knows keep their id, new ones get theirs and stay in the table, so slices agree with each other.
+    """
+    pairs = durable(df.select(left_id, F.explode(list_parts(column, separator, trim)).alias(name)))
+    dimension = durable(keys.extend(pairs, name).select(F.col("value").alias(name), F.col("id").alias(right_id)))
+    return dimension, pairs.join(dimension, name).select(left_id, right_id)

@@ -10,6 +10,8 @@ from reelsift.session import durable
 
 # A monotonically increasing id holds the partition above its lower 33 bits and the row within it below.
 ROW_BITS = 33
+#: Rows of a range, about, where the session's number of partitions would give more.
+RANGE_ROWS = 2_000_000
 
 
 def global_row_number(df: DataFrame, order_by: str | list[str], new_column: str) -> DataFrame:
@@ -17,10 +19,13 @@ def global_row_number(df: DataFrame, order_by: str | list[str], new_column: str)
 
     Rows are range-partitioned and sorted; each one's number is its place in its partition plus the
     sizes of the partitions before. The placed rows are made durable first, so both parts of that
-    sum see the same placement even when an executor is lost. ``order_by`` should identify a row.
+    sum see the same placement even when an executor is lost. There are as many ranges as the session has shuffle
+    partitions, and more where they would hold over ``RANGE_ROWS``. ``order_by`` should identify a row.
     """
     order = as_list(order_by)
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written before it is counted and its ranges are sampled, so its own plan runs once.
+    df = durable(df)
+    slots = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
     placed = durable(
         df.repartitionByRange(slots, *order)
         .sortWithinPartitions(*order)

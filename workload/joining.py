@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from reelsift.operators import dims, joins, match, stats
 from reelsift.operators.dedup import distinct_rows, drop_duplicates_by_ordered_partition
 from reelsift.plans import stars
+from reelsift.session import durable
 from reelsift.sources import writers
+from reelsift.sources.keytable import KeyTable, nth_hash
 from workload.registry import query
 
 
@@ -190,6 +192,52 @@ def _(t):
     return dims.create_association_table(lists, dimension, "cast_list", "actor_name", "p_partkey", "actor_id")
 
 
+# The parts come in three slices by their key; each brings names the earlier ones had, and new ones.
+SLICED = f"""WITH pairs AS (SELECT p_partkey, p_partkey % 3 AS slice, trim(unnest(string_split(cast_list, ','))) AS actor_name FROM {LISTS}),
+    dimension AS (SELECT actor_name, row_number() OVER (ORDER BY min(slice), actor_name) AS actor_id FROM pairs GROUP BY actor_name)"""
+
+
+def keyed_slices(t):
+    """The key table, and the dimension and bridge of every slice."""
+    keys = KeyTable(t.spark, f"{t.database()}.actors", base_path=t.scratch(), parts=4)
+    lists = cast_lists(t)
+    return keys, [
+        dims.keyed_dimension_and_bridge(lists.where(F.col("p_partkey") % 3 == k), keys, "cast_list", "actor_name", "p_partkey", "actor_id") for k in range(3)
+    ]
+
+
+@query("d1_dimension_by_slices", f"{SLICED} SELECT actor_name, actor_id, slice FROM dimension JOIN (SELECT DISTINCT actor_name, slice FROM pairs) USING (actor_name)")
+def _(t):
+    _, slices = keyed_slices(t)
+    told = [dimension.withColumn("slice", F.lit(k).cast("bigint")) for k, (dimension, _) in enumerate(slices)]
+    return told[0].unionByName(told[1]).unionByName(told[2])
+
+
+@query("d2_bridge_by_slices", f"{SLICED} SELECT p_partkey, actor_id FROM pairs JOIN dimension USING (actor_name)")
+def _(t):
+    _, slices = keyed_slices(t)
+    return slices[0][1].unionByName(slices[1][1]).unionByName(slices[2][1])
+
+
+@query(
+    "n7_persistent_ids",
+    """SELECT count(DISTINCT c_name) AS names, count(DISTINCT c_name) AS ids, CAST(0 AS BIGINT) AS changed, true AS some_met,
+       (SELECT count(*) FROM customer) AS looked_up FROM customer""",
+)
+def _(t):
+    # A first hash of few values, so that many meet, and a second one of more.
+    weak = lambda value, attempt: F.pmod(nth_hash(value, attempt), F.lit(1000 * 100**attempt))
+    keys = KeyTable(t.spark, f"{t.database()}.names", "hashed", base_path=t.scratch(), hashes=weak)
+    before = durable(keys.extend(t.customer.where("c_custkey % 2 = 0"), "c_name"))
+    keys.extend(t.customer, "c_name")
+    after = keys.rows()
+    changed = before.join(after.select("value", F.col("id").alias("now")), "value").where("id != now")
+    counts = after.agg(F.count("*").alias("names"), F.count_distinct("id").alias("ids"), F.max(F.col("attempt") > 0).alias("some_met"))
+    found = keys.with_ids(t.customer, "c_name", "found").join(after, (F.col("c_name") == F.col("value")) & (F.col("found") == F.col("id")))
+    # One row by one row.
+    return counts.crossJoin(changed.agg(F.count("*").alias("changed"))).crossJoin(found.agg(F.count("*").alias("looked_up")))
+
+
 @query("d2_bridge_by_hash", f"{WORD_DIMENSION} SELECT p_partkey, actor_name FROM pairs")
 def _(t):
     lists = cast_lists(t)
