@@ -32,13 +32,22 @@ TRENDING_COLUMNS = [
 ]
 
 
+def video_details(videos: DataFrame, channels: DataFrame) -> DataFrame:
+    """What trending rows take from their video and its channel, one row per video."""
+    return videos.select(*VIDEO_COLUMNS).join(channels.select("channel_id", "channel_title"), "channel_id", "left")
+
+
 def trending_with_details(
-    trending: DataFrame, videos: DataFrame, channels: DataFrame, zones: dict[str, str] | None = None
+    trending: DataFrame, videos: DataFrame, channels: DataFrame | None = None, zones: dict[str, str] | None = None
 ) -> DataFrame:
-    """Trending rows with their video, channel and local publishing time."""
-    facts, details = trending.select(*FACT_COLUMNS), videos.select(*VIDEO_COLUMNS)
-    named = channels.select("channel_id", "channel_title")
-    joined = facts.join(details, "video_id", "left").join(named, "channel_id", "left")
+    """Trending rows with their video, channel and local publishing time.
+
+    Videos meet their channels before the facts, so the facts are joined once; without ``channels``, ``videos`` are
+    :func:`video_details` already. Where both tables are in the same buckets by ``video_id``
+    (:func:`~reelsift.sources.writers.publish_cobucketed`) no row is shuffled.
+    """
+    details = videos if channels is None else video_details(videos, channels)
+    joined = trending.select(*FACT_COLUMNS).join(details, "video_id", "left")
     published = F.col("published_at")
     return joined.withColumns(
         {
@@ -53,7 +62,7 @@ def video_tags(bridge: DataFrame, tags: DataFrame) -> DataFrame:
     return bridge.join(tags, "tag_id", "left").select("video_id", "tag")
 
 
-def _partial(rows: DataFrame, keys: list[str]) -> DataFrame:
+def partial_sums(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Sums and non-null counts of views, likes and likes per view, which add up over further grouping."""
     # As doubles: sums of whole numbers could leave their range.
     measures = {"views": F.col("view_count").cast("double"), "likes": F.col("likes").cast("double"), "rate": ratio("likes", "view_count")}
@@ -69,7 +78,7 @@ def _add_up(partials: DataFrame, keys: list[str]) -> DataFrame:
     return partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def _tag_means(partials: DataFrame, bridge: DataFrame, tags: DataFrame, keys: list[str], exclude: str) -> DataFrame:
+def tag_means(partials: DataFrame, bridge: DataFrame, tags: DataFrame, keys: list[str], exclude: str) -> DataFrame:
     by_id = _add_up(partials.join(bridge, "video_id"), ["tag_id", *keys])
     named = by_id.join(tags, "tag_id").where(F.col("tag").isNotNull() & (F.col("tag") != exclude))
     return _add_up(named, ["tag", *keys]).select(
@@ -98,8 +107,8 @@ def tag_statistics(
     columns = ["video_id", "trending_date", "country_dataset", "view_count", "likes"]
     order = tie_breakers or ["country_dataset", F.col("view_count").desc(), F.col("likes").desc()]
     first = earliest_per_key(trending.select(*columns), "video_id", "trending_date", order)
-    partials = _partial(first.where(F.col("view_count") > min_views), ["video_id"])
-    return _tag_means(partials, bridge, tags, [], exclude).where(F.col("videos_count") > min_videos)
+    partials = partial_sums(first.where(F.col("view_count") > min_views), ["video_id"])
+    return tag_means(partials, bridge, tags, [], exclude).where(F.col("videos_count") > min_videos)
 
 
 def top_tags_per_country(
@@ -116,10 +125,10 @@ def top_tags_per_country(
     A video counts once for every row it has in a country, or with ``count_videos`` once. Tags with
     equal counts rank by name.
     """
-    partials = _partial(trending.where(F.col("view_count") > min_views), ["video_id", "country_dataset"])
+    partials = partial_sums(trending.where(F.col("view_count") > min_views), ["video_id", "country_dataset"])
     if count_videos:
         partials = partials.withColumn("n", F.lit(1).cast("bigint"))
-    means = _tag_means(partials, bridge, tags, ["country_dataset"], exclude)
+    means = tag_means(partials, bridge, tags, ["country_dataset"], exclude)
     order = [F.col("videos_count").desc(), F.col("tag").asc()]
     return top_k_per_group(means, "country_dataset", order, k, "tag_country_rank")
 

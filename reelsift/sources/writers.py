@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,27 +88,97 @@ def publish(df: DataFrame, table: str, base_path: str | None = None, partition_b
     exists = spark.catalog.tableExists(table)
     if exists and partition_by is None:
         partition_by = [c for c in _partitions(spark, table) if c in df.columns]
+    if exists and (layout := cobuckets(spark, table)):
+        return _publish_cobucketed(df, table, layout.keys, layout.buckets, base_path, partition_by)
     folder = _write_folder(df, table, base_path, partition_by)
     if exists and _same_layout(spark, table, df, partition_by):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         _refresh(spark, table, partition_by)
         return spark.table(table)
-    written = spark.read.parquet(folder).schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.fields)
+    # Of the rows and not of the files: without rows a partitioned folder has none.
+    fields = sorted(df.schema.fields, key=lambda f: f.name in (partition_by or []))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     layout = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     properties = _properties(spark, table) if exists else {}
     kept = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     made = f"{table}__{uuid.uuid4().hex[:12]}" if exists else table
     spark.sql(f"CREATE TABLE {made} ({columns}) USING parquet{layout} LOCATION '{folder}'" + (f" TBLPROPERTIES ({kept})" if kept else ""))
     if exists:
-        old = f"{table}__{uuid.uuid4().hex[:12]}"
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
-        spark.sql(f"DROP TABLE {old}")
+        _take_place(spark, made, table)
     _refresh(spark, table, partition_by)
     return spark.table(table)
 
 
+def _take_place(spark: SparkSession, made: str, table: str) -> None:
+    old = f"{table}__{uuid.uuid4().hex[:12]}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
+
+
+@dataclass(frozen=True)
+class Cobuckets:
+    buckets: int
+    keys: list[str]
+
+
+def cobuckets(spark: SparkSession, table: str) -> Cobuckets | None:
+    """The buckets a table's rows are laid out in for joins, if it is a :func:`publish_cobucketed` one."""
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if int(told.get("Num Buckets", 0) or 0) < 1:
+        return None
+    return Cobuckets(int(told["Num Buckets"]), [c.strip(" `[]") for c in told["Bucket Columns"].split(",")])
+
+
+def publish_cobucketed(
+    df: DataFrame, table: str, keys: str | list[str], buckets: int, base_path: str | None = None, partition_by: list[str] | None = None
+) -> DataFrame:
+    """Publish a table in ``buckets`` by ``keys``, each sorted by them, so tables with the same buckets join without a shuffle.
+
+    Merges and :func:`publish` keep the layout; :func:`add_slice` adds partitions to it. A join reads a bucket in one task, which
+    nothing splits: where :func:`largest_bucket` says that one key has a large share of the rows, leave the table
+    unbucketed, and adaptive execution splits that key.
+    """
+    return _publish_cobucketed(df, table, [keys] if isinstance(keys, str) else keys, buckets, base_path, partition_by)
+
+
+def _publish_cobucketed(df: DataFrame, table: str, keys: list[str], buckets: int, base_path: str | None, partition_by: list[str] | None) -> DataFrame:
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    made = f"{table}__{uuid.uuid4().hex[:12]}" if exists else table
+    folder = f"{base_path or shared_root(spark)}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
+    # One task per bucket, so that a bucket is one file (in each partition).
+    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", folder)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(made)
+    if exists:
+        for name, value in _properties(spark, table).items():
+            spark.sql(f"ALTER TABLE {made} SET TBLPROPERTIES ('{name}' = '{value}')")
+        _take_place(spark, made, table)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def add_slice(df: DataFrame, table: str) -> DataFrame:
+    """Replace the partitions of a partitioned, co-bucketed table that ``df`` has rows for; the others are not touched."""
+    spark = df.sparkSession
+    layout = cobuckets(spark, table)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).repartition(layout.buckets, *layout.keys).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def largest_bucket(table: DataFrame, layout: Cobuckets) -> float:
+    """The share of the rows that the fullest bucket has; ``1 / buckets`` is even."""
+    sizes = table.groupBy(F.pmod(F.hash(*layout.keys), F.lit(layout.buckets)).alias("bucket")).agg(F.count("*").alias("rows"))
+    return sizes.agg((F.max("rows") / F.sum("rows")).alias("share")).first().share or 0.0
+
+
 def _partitions(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -156,21 +228,30 @@ def publish_bucketed(df: DataFrame, table: str, key: str, buckets: int, base_pat
 def _merge_buckets(
     target: DataFrame, updates: DataFrame, table: str, key: str, run_date, base_path: str | None, **rules
 ) -> DataFrame:
-    """Upsert into the buckets that have updates; each is written anew and switched, the others stay untouched.
+    """Upsert into the buckets that have updates; each is written anew and switched, the others stay untouched."""
+    # Which buckets are touched and what goes into them must come from the same rows.
+    updates = durable(_one_per_key(updates, key, **rules))
+    return _switch_buckets(
+        table, key, updates.select(key), lambda before: _replaced(before, updates, key, run_date), base_path, target.sparkSession
+    )
+
+
+def _switch_buckets(
+    table: str, key: str, touching: DataFrame, change: Callable[[DataFrame], DataFrame], base_path: str | None, spark: SparkSession
+) -> DataFrame:
+    """Change the buckets of the keys in ``touching``, written to a new folder and switched one by one.
 
-    The switch is one call per bucket. After a failure among them some buckets are new and the others as before;
-    the same merge again mends that.
+    After a failure among the switches some buckets are new and the others as before; the same change again mends that.
     """
-    spark = target.sparkSession
-    # Which buckets are touched and what goes into them must come from the same rows.
-    updates = durable(updates)
+    target = spark.table(table)
     buckets = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{KEY_BUCKET}s')").first().value)
     bucket = key_bucket(key, buckets)
     # At most one row per bucket.
-    touched = [r[0] for r in updates.select(bucket.alias(KEY_BUCKET)).distinct().collect()]
+    touched = [r[0] for r in touching.select(bucket.alias(KEY_BUCKET)).distinct().collect()]
+    if not touched:
+        return target
     before = target.where(F.col(KEY_BUCKET).isin(touched)).drop(KEY_BUCKET)
-    merged = upsert(before, updates, key, run_date, **rules).withColumn(KEY_BUCKET, bucket)
-    folder = _write_folder(merged, table, base_path, [KEY_BUCKET])
+    folder = _write_folder(change(before).withColumn(KEY_BUCKET, bucket), table, base_path, [KEY_BUCKET])
     for number in touched:
         partition, place = f"PARTITION ({KEY_BUCKET} = {number})", f"{folder}/{KEY_BUCKET}={number}"
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} LOCATION '{place}'")
@@ -179,6 +260,20 @@ def _merge_buckets(
     return spark.table(table)
 
 
+def merge_best(rows: DataFrame, table: str, key: str, order_by: list, base_path: str | None = None, buckets: int = 16) -> DataFrame:
+    """Keep the first row of each key in ``order_by``, out of the table's and the new ones, in the buckets of the new ones' keys.
+
+    The table is made from the first rows. The same rows again change nothing. A null key is a key like others.
+    """
+    spark = rows.sparkSession
+    best = durable(drop_duplicates_by_ordered_partition(rows, key, order_by))
+    if not spark.catalog.tableExists(table):
+        return publish_bucketed(best, table, key, buckets, base_path)
+    columns = [c for c in spark.table(table).columns if c != KEY_BUCKET]
+    better = lambda before: drop_duplicates_by_ordered_partition(before.select(*columns).unionByName(best.select(*columns)), key, order_by)
+    return _switch_buckets(table, key, best.select(key), better, base_path, spark)
+
+
 def save_checkpoint(df: DataFrame, table: str, base_path: str | None = None) -> DataFrame:
     """Replace a checkpoint table, with a new schema if need be, and continue from what was written."""
     return publish(df, table, base_path)
@@ -200,6 +295,12 @@ def upsert(
     ``on_duplicate="raise"`` an error raised. Updates without a key match nothing and are added, each of them and
     every time, as MERGE does; with ``null_keys="raise"`` they are an error.
     """
+    # Written once: the same rows replace and are added, whatever the updates would give a second time.
+    return _replaced(target, durable(_one_per_key(updates, key, on_duplicate, order_by, null_keys)), key, run_date)
+
+
+def _one_per_key(updates: DataFrame, key: str, on_duplicate: str = "first", order_by: list | None = None, null_keys: str = "append") -> DataFrame:
+    """The update of each key, and the updates without a key."""
     named, unnamed = updates.where(F.col(key).isNotNull()), updates.where(F.col(key).isNull())
     if null_keys == "raise" and not unnamed.isEmpty():
         raise ValueError(f"updates without {key}")
@@ -208,8 +309,11 @@ def upsert(
             raise ValueError(f"several updates for one {key}")
     else:
         named = drop_duplicates_by_ordered_partition(named, key, order_by or total_order(updates))
-    # Written once: the same rows replace and are added, whatever the updates would give a second time.
-    updates = durable(named.unionByName(unnamed))
+    return named.unionByName(unnamed)
+
+
+def _replaced(target: DataFrame, updates: DataFrame, key: str, run_date: str | date | None) -> DataFrame:
+    """``target`` with its rows replaced by ``updates`` (one per key, written), stamped with the run date."""
     stamped = updates
     if UPDATE_DATE in target.columns:
         stamped = updates.withColumn(UPDATE_DATE, run_date_column(run_date).cast(target.schema[UPDATE_DATE].dataType))
@@ -276,36 +380,63 @@ def merge_updates(
     return publish(upsert(target, updates, key, run_date, **rules), name, base_path, partition_by)
 
 
-def replace_by_key(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """All rows of ``target`` whose key is not in ``new``, and the rows of ``new``: several rows of a key are replaced together."""
+def replace_by_key(target: DataFrame, new: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
+    """Rows of ``target`` whose key is not among the replaced ones, and the rows of ``new``.
+
+    ``keys`` has the keys that the slice speaks of (those of ``new`` by default): a key without new rows loses all it
+    had. Several rows of a key are replaced together, and a null key is a key like others, so the same slice
+    again changes nothing.
+    """
     new = durable(new)
-    return target.join(new.select(key).distinct(), key, "left_anti").select(*target.columns).unionByName(new.select(*target.columns))
+    gone = (new if keys is None else keys.select(key).unionByName(new.select(key))).select(F.col(key).alias("__gone")).distinct()
+    kept = target.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
+    return kept.select(*target.columns).unionByName(new.select(*target.columns))
+
+
+def _replace_in_buckets(table: str, new: DataFrame, key: str, keys: DataFrame, base_path: str | None) -> DataFrame:
+    """:func:`replace_by_key` in a table from :func:`publish_bucketed`, in the buckets of ``keys`` and ``new`` alone."""
+    spark = new.sparkSession
+    new, keys = durable(new), durable(keys.select(key).distinct())
+    return _switch_buckets(
+        table, key, keys.unionByName(new.select(key)), lambda before: replace_by_key(before, new, key, keys), base_path, spark
+    )
 
 
 def merge_model(
     spark: SparkSession,
     database: str,
     entities: dict[str, tuple[DataFrame, str]],
-    bridges: dict[str, tuple[DataFrame, str]] | None = None,
+    bridges: dict[str, tuple[DataFrame, str] | tuple[DataFrame, str, DataFrame]] | None = None,
     run_date: str | date | None = None,
     base_path: str | None = None,
+    buckets: int = 16,
 ) -> None:
     """Bring a day's slice of a dimensional model into its tables.
 
     ``entities`` are dimensions and facts with their key: rows are upserted, the ones of other days stay. ``bridges`` have
-    the key whose rows they replace together, such as the show's. Ids must come from the values themselves (hashed ids),
-    or the slices would disagree about them. A table that doesn't exist yet is made.
+    the key whose rows they replace together, such as the show's, and the slice's entities as third part: a show
+    that comes without any genre loses those it had. Without the third part, the keys are those of the first entity
+    that has the bridge's key as its own, or else the bridge's. Ids must come from the values themselves (hashed ids) or from a
+    :class:`~reelsift.sources.keytable.KeyTable`, or the slices would disagree about them.
+
+    A table that doesn't exist yet is made in ``buckets`` by its key, and later slices rewrite only the buckets they touch.
     """
     for name, (df, key) in entities.items():
         table = f"{database}.{name}"
         if spark.catalog.tableExists(table):
             merge_updates(table, df, key, run_date, base_path)
         else:
-            publish(drop_duplicates_by_ordered_partition(df, key, total_order(df)), table, base_path)
-    for name, (df, key) in (bridges or {}).items():
+            publish_bucketed(drop_duplicates_by_ordered_partition(df, key, total_order(df)), table, key, buckets, base_path)
+    owners = {key: df for df, key in reversed(entities.values())}
+    for name, (df, key, *given) in (bridges or {}).items():
         table = f"{database}.{name}"
-        rows = replace_by_key(spark.table(table), df, key) if spark.catalog.tableExists(table) else df
-        publish(rows, table, base_path)
+        keys = (given[0] if given else owners.get(key, df)).select(key)
+        if not spark.catalog.tableExists(table):
+            publish_bucketed(df, table, key, buckets, base_path)
+        elif KEY_BUCKET in spark.table(table).columns:
+            _replace_in_buckets(table, df, key, keys, base_path)
+        else:
+            publish(replace_by_key(spark.table(table), df, key, keys), table, base_path)
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:

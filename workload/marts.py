@@ -6,7 +6,7 @@ from reelsift.functions.values import map_literal
 from reelsift.lookups import Rule
 from reelsift.operators.dims import create_association_table, create_unique_df
 from reelsift.operators.quality import trailer_condition
-from reelsift.plans import cleaning, marts, stars
+from reelsift.plans import cleaning, marts, running, stars
 from reelsift.sources import readers, writers
 from workload.joining import PAGE_TITLES, WHOLE_WORD, page_titles
 from workload.registry import REGISTRY, query
@@ -72,6 +72,19 @@ def _(t):
     return marts.trending_with_details(trending(t, "l_orderkey"), order_videos(t), channels)
 
 
+@query("m1_cobucketed", REGISTRY["m1_trending_with_details"].sql)
+def _(t):
+    channels = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("channel_id"), F.col("c_name").alias("channel_title"))
+    database, base = t.database(), t.scratch()
+    rows = trending(t, "l_orderkey").withColumn("year", F.year("trending_date"))
+    # The facts arrive by years, the last year wrong at first; both tables are merged into and keep their buckets.
+    writers.publish_cobucketed(rows.where("year < 1998").unionByName(rows.where("year > 1997").limit(100)), f"{database}.trending", "video_id", 8, base, ["year"])
+    facts = writers.add_slice(rows.where("year > 1997"), f"{database}.trending")
+    details = marts.video_details(order_videos(t), channels)
+    writers.publish_cobucketed(details.withColumn("title", F.lit("old")).where("video_id % 2 = 0"), f"{database}.videos", "video_id", 8, base)
+    return marts.trending_with_details(facts, writers.merge_updates(f"{database}.videos", details, "video_id", base_path=base))
+
+
 TAGGED = """words AS (SELECT DISTINCT p_partkey AS video_id, unnest(string_split(p_name, ' ')) AS tag FROM part),
     tags AS (SELECT tag, dense_rank() OVER (ORDER BY tag) AS tag_id FROM (SELECT DISTINCT tag FROM words)),
     bridge AS (SELECT video_id, tag_id FROM words JOIN tags USING (tag))"""
@@ -175,6 +188,43 @@ def part_shows(t):
     )
 
 
+YEARS = ["year(trending_date) < 1995", "year(trending_date) IN (1995, 1996)", "year(trending_date) > 1996"]
+
+
+def state_by_slices(t, video: str):
+    """Three slices of whole years; the middle one comes wrong at first, and the last one in two parts."""
+    rows, state = trending(t, video), running.TrendingState(t.spark, t.database(), "trending_state", period="year")
+    wrong = rows.where(YEARS[1]).withColumn("view_count", F.col("view_count") * 3)
+    state.absorb(rows.where(YEARS[0]))
+    state.absorb(wrong)
+    state.absorb(rows.where(YEARS[2]).where("dislikes <= 3"))
+    state.absorb(rows.where(YEARS[2]).where("dislikes > 3"), whole_periods=False)
+    state.absorb(rows.where(YEARS[1]))
+    return state
+
+
+@query("m3_by_slices", REGISTRY["m3_tag_statistics"].sql)
+def _(t):
+    return rounded(state_by_slices(t, "l_partkey").tag_statistics(*part_tags(t), exclude="red"), MEANS)
+
+
+@query("m4_by_slices", REGISTRY["m4_top_tags"].sql)
+def _(t):
+    top = state_by_slices(t, "l_partkey").top_tags_per_country(*part_tags(t), k=10, exclude="red")
+    return rounded(rounded(top, MEANS[:2]), MEANS[2:], 9)
+
+
+@query("m5_by_slices", REGISTRY["m5_category_distribution"].sql)
+def _(t):
+    shares = state_by_slices(t, "l_orderkey").category_distribution(order_videos(t))
+    return rounded(shares, ["percent_of_country_trending_videos"], 9)
+
+
+@query("m6_by_slices", REGISTRY["m6_monthly_categories"].sql.replace("date_trunc('month', trending_date)", "CAST(date_trunc('month', trending_date) AS DATE)"))
+def _(t):
+    return state_by_slices(t, "l_orderkey").monthly_category_distribution(order_videos(t))
+
+
 STATS = """count(*) AS count_of_shows_movies, round(sum(nullif(p_retailprice, 900.0)), 2) AS total_gross_eur, round(avg(p_size / 5.0), 2) AS average_rating,
     round(avg(nullif(p_size, 7)), 2) AS average_votes FROM part"""
 

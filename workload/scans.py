@@ -252,6 +252,23 @@ def _(t):
     return joins.dimension_lookup(bridge, tables["shows"], "show_id", ["o_orderstatus"], "inner").select("show_id", "label")
 
 
+@query(
+    "s13_values_lost",
+    """SELECT o_orderkey AS show_id, o_orderpriority AS label FROM orders WHERE o_orderstatus <> 'F'
+       UNION ALL SELECT NULL, 'nameless'""",
+)
+def _(t):
+    database, base = t.database(), t.scratch()
+    orders = t.orders.select(F.col("o_orderkey").alias("show_id"), F.col("o_orderpriority").alias("label"), "o_orderstatus")
+    nameless = t.spark.sql("SELECT CAST(NULL AS BIGINT) AS show_id, 'nameless' AS label")
+    # On the second day the finished orders come without any label, and lose theirs. Each day is merged twice.
+    for day, labels in ((orders, orders), (orders.where("o_orderstatus = 'F'"), orders.limit(0))):
+        for _ in range(2):
+            bridge = labels.select("show_id", "label").unionByName(nameless)
+            writers.merge_model(t.spark, database, {"shows": (day.select("show_id", "o_orderstatus"), "show_id")}, {"labels": (bridge, "show_id")}, base_path=base)
+    return readers.read_table(t.spark, database, "labels").select("show_id", "label")
+
+
 @query("s14_checkpoint", "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS doubled FROM orders")
 def _(t):
     table = f"{t.database()}.checkpoint"
