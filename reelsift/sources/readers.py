@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelsift.lookups import VIDEO_RENAMES
+from reelsift.sources.splitcsv import read_split_csv
 
 ALL_DATES = "all_dates"
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
@@ -24,8 +25,13 @@ def inline_table(spark: SparkSession, rows: list[tuple], columns: list[str] | T.
     return spark.createDataFrame(pa.table(data))
 
 
-def read_media_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with quoted, multi-line records and a declared schema, under the clean column names."""
+def read_media_csv(spark: SparkSession, path: str, schema: T.StructType | str, split: bool = False, block_bytes: int | None = None) -> DataFrame:
+    """CSV with quoted, multi-line records and a declared schema, under the clean column names.
+
+    With ``split`` a large file is read in several tasks (:mod:`reelsift.sources.splitcsv`), else each file in one.
+    """
+    if split:
+        return read_split_csv(spark, path, schema, block_bytes=block_bytes).drop("_file").withColumnsRenamed(VIDEO_RENAMES)
     return spark.read.schema(schema).options(**CSV_DIALECT).csv(path).withColumnsRenamed(VIDEO_RENAMES)
 
 
@@ -54,15 +60,18 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(f"{database}.{table}")
 
 
-def file_country() -> Column:
+def file_country(path: str | Column = "_metadata.file_path") -> Column:
     """Country code of the scanned file: the first two letters of its name, or of the folder ``XX_...`` around it."""
-    path = F.col("_metadata.file_path")
+    path = F.col(path) if isinstance(path, str) else path
     folder = F.regexp_extract(path, r"/([A-Z]{2})_[^/]*/[^/]+$", 1)
-    return F.when(folder != "", folder).otherwise(F.substring(F.col("_metadata.file_name"), 1, 2))
+    return F.when(folder != "", folder).otherwise(F.substring(F.regexp_extract(path, r"([^/]*)$", 1), 1, 2))
 
 
-def read_country_files(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Every country's file in one scan, without the description, tagged with ``country_dataset``."""
+def read_country_files(spark: SparkSession, path: str, schema: T.StructType | str, split: bool = False, block_bytes: int | None = None) -> DataFrame:
+    """Every country's file in one scan, without the description, tagged with ``country_dataset``; ``split`` as in :func:`read_media_csv`."""
+    if split:
+        lines = read_split_csv(spark, path, schema, block_bytes=block_bytes)
+        return lines.withColumn("country_dataset", file_country("_file")).drop("description", "_file").withColumnsRenamed(VIDEO_RENAMES)
     scan = spark.read.schema(schema).options(**CSV_DIALECT).csv(path)
     return (
         scan.withColumn("country_dataset", file_country()).drop("description").withColumnsRenamed(VIDEO_RENAMES)
