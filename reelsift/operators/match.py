@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelsift.operators.bloom import BloomFilter
 from reelsift.operators.dedup import drop_duplicates_by_ordered_partition
 from reelsift.operators.joins import BROADCAST_ROWS
 from reelsift.session import durable
@@ -97,8 +98,8 @@ def match_titles(
     """All (title row, text row) pairs in which the title occurs in the text as whole words.
 
     An equi-join on the rarest key of each title proposes pairs, and the regex decides. Text keys
-    that no title has are dropped before any shuffle of them, as long as the keys of the titles can
-    be broadcast. What is left is made durable, because it is read twice: to count and to join. Each
+    that no title has are dropped before any shuffle of them, by the keys of the titles while these can
+    be broadcast, by their Bloom filter beyond that. What is left is made durable, because it is read twice: to count and to join. Each
     key is spread over ``salts`` tasks, so a key that many texts share is no bottleneck; the titles,
     the small side, are repeated for it. With ``inline_text`` the texts travel with their keys, which
     suits short ones; otherwise only their ids do, and the texts are joined back to the proposed pairs.
@@ -120,11 +121,13 @@ def match_titles(
 
     carried = texts.columns if inline_text else [text_id]
     title_side = keyed_titles.select("__key").distinct()
+    all_keys = text_keys(texts.where(F.col(text).isNotNull()), text, carried, kinds)
     if sum(counts.values()) <= BROADCAST_ROWS:
         title_side = F.broadcast(title_side)
-    keyed_texts = durable(
-        text_keys(texts.where(F.col(text).isNotNull()), text, carried, kinds).join(title_side, "__key", "left_semi")
-    )
+    else:
+        # Too many to send: their Bloom filter goes instead, and only keys that pass it are shuffled.
+        all_keys = BloomFilter(title_side, "__key", sum(counts.values())).may_hold(all_keys, "__key")
+    keyed_texts = durable(all_keys.join(title_side, "__key", "left_semi"))
 
     frequency = keyed_texts.groupBy("__key").agg(F.count("*").alias("__texts"))
     rarest = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions.text import as_list
 from reelsift.lookups import NON_LATIN_BLOCKS, NOT_A_TRAILER_TERMS
+from reelsift.operators.bloom import BloomFilter
 
 
 def select_rows_with_missing_values(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -110,8 +111,13 @@ def trailer_condition(
     )
 
 
-def keep_members(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
-    """Rows whose value occurs in the first column of ``members``."""
+def keep_members(df: DataFrame, column: str, members: DataFrame, prefilter: bool = False) -> DataFrame:
+    """Rows whose value occurs in the first column of ``members``.
+
+    For members that are too many to send, ``prefilter`` drops most of the other rows by a Bloom filter before they are shuffled.
+    """
+    if prefilter:
+        df = BloomFilter(members, members.columns[0]).may_hold(df, column)
     return df.join(members.select(F.col(members.columns[0]).alias(column)), column, "left_semi")
 
 

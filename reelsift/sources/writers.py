@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -279,6 +281,71 @@ def save_checkpoint(df: DataFrame, table: str, base_path: str | None = None) ->
     return publish(df, table, base_path)
 
 
+SIGNATURE = "built_from"
+
+
+def signature(inputs: list[DataFrame], arguments: dict | None = None) -> str:
+    """What a result is built from: the files of its inputs (path, size, time of change), their columns, and ``arguments``.
+
+    The files are summed up in a few numbers where they are listed; inputs that are not read from files count by their columns
+    alone, so name their version in ``arguments``.
+    """
+    told = []
+    for df in inputs:
+        files = []
+        if df.inputFiles():
+            meta = df.select(*[F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size", "file_modification_time")]).distinct()
+            row = F.xxhash64("file_path", "file_size", F.unix_micros("file_modification_time"))
+            files = list(meta.agg(F.count("*"), F.bit_xor(row), F.sum(F.pmod(row, F.lit(1 << 40)))).first())
+        told.append([df.schema.simpleString(), files])
+    return hashlib.sha256(json.dumps([told, arguments or {}], sort_keys=True, default=str).encode()).hexdigest()
+
+
+def checkpoint_or_build(
+    spark: SparkSession, table: str, build: Callable[[], DataFrame], inputs: list[DataFrame], arguments: dict | None = None, base_path: str | None = None
+) -> DataFrame:
+    """The saved table if it was built from the same inputs and arguments, else what ``build`` gives, saved with its signature.
+
+    Rows that come while the table is being built belong to the next signature, which is taken before.
+    """
+    now = signature(inputs, arguments)
+    if spark.catalog.tableExists(table) and _properties(spark, table).get(SIGNATURE) == now:
+        return spark.table(table)
+    built = save_checkpoint(build(), table, base_path)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SIGNATURE}' = '{now}')")
+    return built
+
+
+def publish_clustered(
+    df: DataFrame, table: str, range_by: str | list[str], key: str | None = None, base_path: str | None = None, rows_per_page: int = 20_000,
+    group_bytes: int = 64 << 20, distinct_keys: int = 1_000_000,
+) -> DataFrame:
+    """Publish a table whose files hold ranges of ``range_by``, so that reads of a date or key skip what they do not want.
+
+    Rows are range-partitioned and sorted, so each file, row group and page has a narrow span of the first columns, which their
+    statistics and page index tell. ``key`` gets a Bloom filter in every row group, for lookups of single keys. A range with very many
+    equal rows is one file, since equal values are not parted: add a column to ``range_by`` that tells them apart.
+    """
+    columns = [range_by] if isinstance(range_by, str) else range_by
+    options = {"parquet.page.row.count.limit": str(rows_per_page), "parquet.block.size": str(group_bytes)}
+    if key:
+        options |= {f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.expected.ndv#{key}": str(distinct_keys)}
+    spark = df.sparkSession
+    folder = f"{base_path or shared_root(spark)}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
+    df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.options(**options).parquet(folder)
+    if spark.catalog.tableExists(table) and _same_layout(spark, table, df, []):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+        return spark.table(table)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    made = f"{table}__{uuid.uuid4().hex[:12]}" if spark.catalog.tableExists(table) else table
+    spark.sql(f"CREATE TABLE {made} ({fields}) USING parquet LOCATION '{folder}'")
+    if made != table:
+        _take_place(spark, made, table)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def upsert(
     target: DataFrame,
     updates: DataFrame,

@@ -1,9 +1,15 @@
 """JSON answers to columns, and merges of answers into tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.functions import landed
 from reelsift.operators import enrich
+from reelsift.plans import resumable
+from reelsift.session import durable
+from reelsift.sources import writers
 from workload.registry import query
 
 
@@ -229,3 +235,34 @@ def _(t):
     )
     found = t.part.where("p_size > 10").select(F.col("p_partkey").alias("video_id"), F.col("p_name").alias("duration"))
     return enrich.enrich_videos(videos, found)
+
+
+@query(
+    "e1_resumed_run",
+    """SELECT c_custkey, c_name || '!' AS answer, 1 AS asked, CAST(floor((row_number() OVER (ORDER BY c_custkey) - 1) / (SELECT ceil(count(*) / 5) FROM customer)) AS BIGINT) AS batch_id
+       FROM customer""",
+)
+def _(t):
+    base, table = t.scratch(), f"{t.database()}.answers"
+    size = -(-t.customer.count() // 5)
+    names = t.customer.select(F.col("c_custkey").alias("id"), "c_name")
+    writers.publish_bucketed(t.customer.limit(0).select(F.col("c_custkey").alias("id"), F.lit("").alias("answer")), table, "id", 4, base)
+    asked = []
+
+    def ask(ids):
+        if len(asked) == 2 and not started_again:
+            raise ConnectionError("the service is gone")
+        asked.append(durable(ids))
+        return ids.join(names, "id").select("id", F.concat("c_name", F.lit("!")).alias("answer"))
+
+    started_again = False
+    for _ in range(2):
+        run = resumable.EnrichmentRun(t.spark, "names", base)
+        run.plan(t.customer, "c_custkey", size)
+        try:
+            run.run(ask, lambda answers: writers.merge_updates(table, answers, "id", base_path=base))
+        except ConnectionError:
+            started_again = True  # after two of five batches
+    times = reduce(DataFrame.unionByName, asked).groupBy("id").agg(F.count("*").cast("int").alias("asked"))
+    told = t.spark.table(table).join(times, "id").join(run.ids(), "id")
+    return told.select(F.col("id").alias("c_custkey"), "answer", "asked", F.col("batch_id").cast("bigint").alias("batch_id"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from reelsift.functions.values import map_literal
 from reelsift.operators import joins
 from reelsift.operators.ranking import hashed_id
+from reelsift.session import durable
 from reelsift.sources import readers, writers
 from workload.registry import query
 
@@ -26,6 +27,16 @@ def _(t):
     return read.withColumn("title", F.md5("title"))
 
 
+@query("s1_split_csv", "SELECT doc_id::VARCHAR AS video_id, md5(text) AS title, doc_id::VARCHAR AS channel_id FROM documents")
+def _(t):
+    path = t.scratch()
+    rows = t.documents.select(F.col("doc_id").cast("string").alias("video_id"), F.col("text").alias("title"), F.col("doc_id").alias("channelId"))
+    # One file, read in blocks of 256 KB.
+    writers.write_csv(rows.coalesce(1), path)
+    read = readers.read_media_csv(t.spark, path, "video_id string, title string, channelId string", split=True, block_bytes=256 << 10)
+    return read.withColumn("title", F.md5("title"))
+
+
 @query("s2_inferred_csv", "SELECT c_custkey::INTEGER AS c_custkey, c_name, c_acctbal FROM customer")
 def _(t):
     path = t.scratch()
@@ -279,6 +290,29 @@ def _(t):
     return writers.save_checkpoint(doubled, table, base)
 
 
+@query(
+    "s14_signed_checkpoint",
+    "SELECT c_custkey, builds FROM customer JOIN (VALUES (1, 1), (1, 1), (2, 2), (2, 3)) v(half, builds) ON c_custkey % 2 = 1 OR half = 2",
+)
+def _(t):
+    path, base, table, builds = t.scratch(), t.scratch(), f"{t.database()}.checkpoint", []
+
+    def build():
+        builds.append(1)
+        return t.spark.read.parquet(path).withColumn("builds", F.lit(len(builds)))
+
+    def saved(**arguments):
+        rows = writers.checkpoint_or_build(t.spark, table, build, [t.spark.read.parquet(path)], arguments, base)
+        return durable(rows)
+
+    t.customer.where("c_custkey % 2 = 1").select("c_custkey").write.parquet(path)
+    # Built, found, built anew with more rows and with another argument.
+    found = [saved(), saved()]
+    t.customer.where("c_custkey % 2 = 0").select("c_custkey").write.mode("append").parquet(path)
+    found += [saved(), saved(year=2024)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
 @query("s15_checkpoint_or_rebuild", "SELECT event_id, user_id, 'built' AS origin FROM events UNION ALL SELECT event_id, user_id, 'saved' FROM events")
 def _(t):
     path = t.scratch()
@@ -325,3 +359,18 @@ def _(t):
     stored = readers.read_parquet(t.spark, path)
     sliced = readers.slice_by_date(stored, "2024-01-05").select("event_id", F.lit("slice").alias("kind"))
     return sliced.union(readers.slice_by_date(stored).select("event_id", F.lit("all")))
+
+
+def clustered_events(t):
+    dated = t.events.select("event_id", "user_id", "ts", F.col("ts").cast("date").alias("last_updated_date"))
+    return writers.publish_clustered(dated, f"{t.database()}.events", ["last_updated_date", "user_id", "event_id"], "user_id", t.scratch(), rows_per_page=100)
+
+
+@query("s19_clustered_slice", "SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'")
+def _(t):
+    return readers.slice_by_date(clustered_events(t), "2024-01-05").select("event_id", "user_id")
+
+
+@query("s7_key_lookup", "SELECT event_id, ts FROM events WHERE user_id = 7")
+def _(t):
+    return clustered_events(t).where("user_id = 7").select("event_id", "ts")

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from reelsift.operators import joins, quality
+from reelsift.operators import joins, observed, quality
 from reelsift.operators.dedup import display_duplicates
 from reelsift.operators.enrich import pending_rows
 from reelsift.operators.ranking import sort_rows, top_n
 from reelsift.operators.stats import group_by_count
-from workload.registry import query
+from reelsift.sources import writers
+from workload.registry import REGISTRY, query
 
 LABELLED = "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
@@ -30,6 +31,13 @@ def _(t):
     return quality.count_na(labelled(t), ["quality", "toxic", "text"])
 
 
+@query("w2_while_writing", REGISTRY["w2_null_counts"].sql)
+def _(t):
+    rows, columns = labelled(t), ["quality", "toxic", "text"]
+    figures = observed.write_observed(rows, lambda df: df.write.parquet(t.scratch()), observed.null_counts(columns))
+    return observed.as_row(rows, figures)
+
+
 @query("e1_pending_rows", f"SELECT d.doc_id, source FROM {LABELLED} WHERE quality IS NULL OR n_chars = 0")
 def _(t):
     return pending_rows(labelled(t), ["quality"], flag="n_chars", value=0).select("doc_id", "source")
@@ -88,6 +96,12 @@ def _(t):
     return quality.regexp_match_count(t.part, ["p_name", "p_type"], "l+|(?i)ro")
 
 
+@query("w4_while_writing", REGISTRY["w4_pattern_counts"].sql)
+def _(t):
+    figures = observed.pattern_counts(["p_name", "p_type"], "l+|(?i)ro")
+    return observed.as_row(t.part, observed.write_observed(t.part, lambda df: writers.write_csv(df, t.scratch()), figures))
+
+
 SHAPES = ["^red", "rod$", "gi.mo"]
 
 
@@ -183,6 +197,11 @@ def _(t):
     return quality.keep_members(t.part, "p_name", common_names(t)).select("p_partkey", "p_name")
 
 
+@query("w13_members_by_bloom", REGISTRY["w13_members"].sql)
+def _(t):
+    return quality.keep_members(t.part, "p_name", common_names(t), prefilter=True).select("p_partkey", "p_name")
+
+
 @query("w13_others", f"SELECT p_partkey, p_name FROM part WHERE p_name NOT IN ({COMMON_NAMES})")
 def _(t):
     return quality.drop_members(t.part, "p_name", common_names(t)).select("p_partkey", "p_name")
