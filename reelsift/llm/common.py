@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,14 @@ def splitting_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def task_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -131,6 +140,61 @@ def packed(data: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
+#: Words up to so many bytes are hashed for a whole batch at once, longer ones one by one.
+_LONG = 96
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, with zeros after the end."""
+    out = np.zeros(len(data) + 8, np.uint64)
+    out[: len(data)] = data
+    for k in (1, 2, 4):
+        out[:-k] |= out[k:] << np.uint64(8 * k)
+    return out
+
+
+def _upto(length: np.ndarray, k: int) -> np.ndarray:
+    """Masks for the bytes ``k`` to ``k + 8`` of strings longer than ``k``."""
+    return np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.minimum(length - k, 8).astype(np.uint64) * np.uint64(8))
+
+
+def same_strings(a: tuple[np.ndarray, np.ndarray], at_a: np.ndarray, b: tuple[np.ndarray, np.ndarray], at_b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the strings of ``length`` bytes at ``at_a`` and ``at_b`` are equal, byte for byte; ``a`` and ``b`` are bytes with their :func:`eights`."""
+    out = np.ones(len(length), bool)
+    some = np.flatnonzero(length <= _LONG)
+    for k in range(0, _LONG, 8):
+        some = some[length[some] > k]
+        if not len(some):
+            break
+        out[some] &= ((a[1][at_a[some] + k] ^ b[1][at_b[some] + k]) & _upto(length[some], k)) == 0
+    for k in np.flatnonzero(length > _LONG):
+        out[k] = np.array_equal(a[0][at_a[k] : at_a[k] + length[k]], b[0][at_b[k] : at_b[k] + length[k]])
+    return out
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings ``[start, end)``, eight bytes after eight, each step mixed before the next.
+
+    Unlike :func:`span_hashes`, which is a polynomial modulo 2**64, no pattern of bytes makes different strings meet: with the
+    same beginning, strings that differ in one step differ after it.
+    """
+    length = end - start
+    out = mixed(length.astype(np.uint64) + _MULTIPLIER)
+    if not len(out):
+        return out
+    eight = eights(data)
+    some = np.flatnonzero(length <= _LONG)
+    for k in range(0, _LONG, 8):
+        some = some[length[some] > k]
+        if not len(some):
+            break
+        chunk = eight[start[some] + k] & _upto(length[some], k)
+        out[some] = mixed((out[some] ^ chunk) * _MULTIPLIER)
+    for k in np.flatnonzero(length > _LONG):
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k] : end[k]])
+    return out
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
@@ -156,8 +220,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> tuple[
     A row of fewer words has one shingle of all its words, a row without words none.
     """
     start, end, first = words(data, offsets)
-    sums = prefix_hashes(data)
-    each = span_hashes(sums, start, end)
+    each = word_hashes(data, start, end)
     n_words = np.diff(first)
     n = np.where(n_words == 0, 0, np.maximum(n_words - size + 1, 1))
     row = np.repeat(np.arange(len(n)), n)

@@ -104,3 +104,54 @@ def test_shingle_sets_follow_the_words():
 def test_pruning_bound_only_rises_with_tolerance():
     strict, loose = near_duplicates.least_matches(tolerance=1e-12), near_duplicates.least_matches(tolerance=1e-2)
     assert all(a <= b for a, b in zip(strict, loose)) and strict[-1] > 0
+
+
+def thue_morse(n, flip=0):
+    return "".join("ab"[(k.bit_count() + flip) % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [64, 1032, 2048])
+def test_words_alike_under_polynomial_hashes_are_no_link(make_docs, n):
+    rows = [(1, f"one two three four {thue_morse(n)} six seven"), (2, f"one two three four {thue_morse(n, 1)} six seven"), (3, thue_morse(n)), (4, thue_morse(n, 1))]
+    got = near_duplicates.near_duplicates(make_docs(rows)).collect()
+    assert {(r.doc_id, r.class_id, r.n_links, r.copy_of) for r in got} == {(k, k, 0, k) for k in (1, 2, 3, 4)}
+
+
+def test_different_sets_with_one_hash_are_told_apart(make_docs, prose, monkeypatch):
+    plain = near_duplicates.set_hashes
+
+    def clashing(tokens, offsets, seed=0):
+        out = plain(tokens, offsets, seed)
+        return np.where(out == 0, out, out % np.uint64(3) + np.uint64(1)) if seed == 0 else out
+
+    monkeypatch.setattr(near_duplicates, "set_hashes", clashing)
+    rows = [(k, prose(30, k // 2)) for k in range(20)]
+    assert result(near_duplicates.near_duplicates(make_docs(rows))) == expected(rows)
+
+
+def test_large_groups_are_cut_by_size(make_docs, prose, monkeypatch):
+    # A passage that all share makes one group of texts of very different lengths.
+    monkeypatch.setattr(near_duplicates, "PAIRED", 4)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 6)
+    monkeypatch.setattr(near_duplicates, "SENT_SETS", 0)
+    monkeypatch.setattr(near_duplicates, "SENT_IDS", 0)
+    rng = random.Random(2)
+    passage = prose(10, 1)
+    rows = [f"{passage} {prose(rng.choice([2, 8, 30, 90]), k // 3)}" for k in range(90)]
+    rows = list(enumerate(edited(r, rng, 1) if k % 3 == 2 else r for k, r in enumerate(rows)))
+    assert result(near_duplicates.near_duplicates(make_docs(rows))) == expected(rows)
+
+
+def test_pruned_pairs_are_not_compared(monkeypatch):
+    one, other = np.arange(1000, dtype=np.uint64), np.arange(500, 1500, dtype=np.uint64)
+    values = np.stack([near_duplicates.minhashes(common.mixed(x)) for x in (one, other, one)])
+    i, j = np.array([0, 0, 1]), np.array([1, 2, 2])
+    assert near_duplicates.can_reach(values, values, near_duplicates.least_matches(), i, j).tolist() == [1]
+
+
+def test_columns_called_like_the_operators_own(make_docs, prose):
+    docs = make_docs([(1, prose(30, 1)), (2, prose(30, 1)), (3, prose(30, 2)), (None, None)])
+    named = docs.withColumnsRenamed({"lang": "_keep", "source": "_nth", "k": "_key", "n": "class_id", "s": "n_links"})
+    kept = near_duplicates.one_of_each_class(named)
+    assert kept.columns == named.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3]
+    assert {(r["_keep"], r["_nth"]) for r in kept.collect()} == {("en", "a")}
