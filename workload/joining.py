@@ -246,6 +246,60 @@ def _(t):
     return bridge.join(dimension, "actor_id").select("p_partkey", "actor_name")
 
 
+# Eight list columns of a catalogue: empty names, blanks, repeats, nulls and an empty list among them.
+CATALOGUE_LISTS = {
+    "directors": "replace(p_name, ' ', ', ')", "actors": "p_name || ', ' || p_type || ' ,  ' || p_type", "countries": "p_brand", "genres": "replace(p_name, ' ', ',') || ',,'",
+    "prod_companies": "CASE WHEN p_size % 3 > 0 THEN 'A, ' || p_brand END", "writers": "CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END", "languages": "' en,  ' || lower(p_type)",
+    "platforms": "p_type",
+}
+ENTITY_PARTS = " UNION ALL ".join(
+    f"SELECT '{entity}' AS entity, p_partkey AS show_id, trim(unnest(string_split({lists}, ','))) AS name FROM part" for entity, lists in CATALOGUE_LISTS.items()
+)
+
+
+def catalogue(t):
+    """Parts as a cleaned catalogue, with its 19 fact columns and eight list columns."""
+    columns = {stars.CATALOGUE_ENTITIES[entity][0]: F.expr(lists) for entity, lists in CATALOGUE_LISTS.items()}
+    facts = {c: F.lit(None).cast("string") for c in stars.SHOW_COLUMNS} | {
+        "show_id": F.col("p_partkey"), "title": F.col("p_name"), "rating": F.col("p_size") / 5, "budget_eur": F.col("p_retailprice"), "duration_minutes": F.col("p_size"),
+    }
+    return t.part.select(*[column.alias(name) for name, column in (facts | columns).items()])
+
+
+def one_table(frames):
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+@query("d1_catalogue_entities", f"SELECT DISTINCT entity, name FROM ({ENTITY_PARTS}) WHERE name <> ''")
+def _(t):
+    tables = stars.catalogue_entities(catalogue(t))
+    names = {entity: name for entity, (_, name, _) in stars.CATALOGUE_ENTITIES.items()}
+    return one_table([tables[entity].select(F.lit(entity).alias("entity"), F.col(name).alias("name")) for entity, name in names.items()])
+
+
+@query("d2_catalogue_bridges", f"SELECT entity, show_id, name FROM ({ENTITY_PARTS}) WHERE name <> ''")
+def _(t):
+    tables = stars.catalogue_entities(catalogue(t))
+    bridges = []
+    for entity, (_, name, id_name) in stars.CATALOGUE_ENTITIES.items():
+        named = tables[f"shows_and_movies_{entity}"].join(tables[entity], id_name)
+        bridges.append(named.select(F.lit(entity).alias("entity"), "show_id", F.col(name).alias("name")))
+    return one_table(bridges)
+
+
+@query(
+    "d1_catalogue_facts",
+    """SELECT p_partkey AS show_id, p_name AS title, p_size / 5 AS rating, p_retailprice AS budget_eur, p_size AS duration_minutes, """
+    + ", ".join(f"NULL::VARCHAR AS {c}" for c in stars.SHOW_COLUMNS if c not in ("show_id", "title", "rating", "budget_eur", "duration_minutes"))
+    + " FROM part",
+)
+def _(t):
+    return stars.catalogue_entities(catalogue(t))["shows_and_movies"]
+
+
 @query("d4_channels", "SELECT p_brand AS channel_id, min(p_name) AS channel_title FROM part GROUP BY p_brand")
 def _(t):
     return stars.channel_dimension(t.part.select(F.col("p_brand").alias("channel_id"), F.col("p_name").alias("channel_title")))

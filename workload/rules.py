@@ -153,6 +153,64 @@ def _(t):
     return stars.genre_star(genres, artists, pairs, MUSIC_RULES, ids="dense")[1]
 
 
+@query("d6_genres_by_hash", f"{MUSIC} SELECT id_artist, name_genre FROM pairs")
+def _(t):
+    genres, artists, pairs = music(t)
+    bridge, dimension = stars.genre_star(genres, artists, pairs, MUSIC_RULES)
+    return bridge.join(dimension, "id_genre").select("id_artist", "name_genre")
+
+
+def music_tables(t):
+    """The raw music tables; genres are named by the shipped rules."""
+    names = F.when(F.col("p_type") == "PROMO", "Hip Hop Pop").when(F.col("p_type") == "SMALL", "trap METAL").otherwise("polka")
+    unknown = F.lit(None).cast("string")
+    tracks = t.part.select(
+        F.col("p_partkey").alias("id_track"), F.col("p_name").alias("name_track"), F.col("p_brand").alias("isrc"), F.col("p_size").alias("bpm"), unknown.alias("key"),
+        F.col("p_type").alias("mode"), unknown.alias("release_date"), *[(F.col("p_size") / 50).alias(c) for c in stars.MUSIC_PROJECTIONS["tracks"][7:]], F.lit(1).alias("dropped"),
+    )
+    sold = t.lineitem.select(F.col("l_partkey").alias("id_track"), F.col("l_orderkey").alias("streams"), F.lit(1).alias("playlist_count"), F.col("l_linenumber").alias("popularity_track"), F.lit("x").alias("source_dataset"))
+    artists = t.customer.where("c_acctbal > 0").select(
+        F.col("c_custkey").alias("id_artist"), F.col("c_name").alias("name_artist"), F.col("c_mktsegment").alias("country"), unknown.alias("birth_date"), F.lit("Person").alias("type"), F.lit(1).alias("dropped")
+    )
+    orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("id_artist"))
+    pairs = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return {
+        "tracks_stats": sold, "tracks": tracks, "artists": artists, "genres": t.part.select(F.col("p_partkey").alias("id_genre"), names.alias("name_genre")),
+        "tracks_artists": pairs.select(F.col("l_partkey").alias("id_track"), "id_artist", (F.col("l_linenumber") == 1).alias("is_main_artist")),
+        "artists_genres": pairs.select("id_artist", F.col("l_partkey").alias("id_genre")),
+    }
+
+
+SHIPPED = """WITH mapped AS (SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN 'rap' WHEN 'SMALL' THEN 'metal' ELSE 'others' END AS name_genre FROM part)"""
+
+
+@query(
+    "d6_music_model",
+    f"""{SHIPPED} SELECT DISTINCT o_custkey AS id_artist, c_name AS name_artist, name_genre FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN mapped ON l_partkey = p_partkey
+        JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0""",
+)
+def _(t):
+    model = stars.music_entities(music_tables(t))
+    named = model["artists_genre"].join(model["genres"], "id_genre")
+    return named.join(model["artists"], "id_artist").select("id_artist", "name_artist", "name_genre")
+
+
+@query(
+    "d6_music_facts",
+    """SELECT p_partkey AS id_track, p_name AS name_track, p_size AS bpm, p_size / 50 AS energy, c_custkey AS id_artist, l_linenumber = 1 AS is_main_artist, l_orderkey AS streams,
+        l_linenumber AS popularity_track FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0""",
+)
+def _(t):
+    model = stars.music_entities(music_tables(t))
+    stats_of = model["tracks_stats"].join(t.orders.select(F.col("o_orderkey").alias("streams"), F.col("o_custkey").alias("id_artist")), "streams")
+    main = F.col("popularity_track") == 1
+    played = stats_of.join(model["tracks"], "id_track").join(model["artists"], "id_artist")
+    known = model["tracks_artists"].distinct()
+    return played.withColumn("is_main_artist", main).join(known, ["id_track", "id_artist", "is_main_artist"]).select(
+        "id_track", "name_track", "bpm", "energy", "id_artist", "is_main_artist", "streams", "popularity_track"
+    )
+
+
 TAG_REPORT = """WITH tags AS (SELECT p_partkey AS video_id, CASE tag WHEN 'RED' THEN 'x' ELSE lower(tag) END AS main_tag
         FROM (SELECT p_partkey, unnest(string_split(upper(p_name), ' ')) AS tag FROM part)),
     counts AS (SELECT main_tag, count(*) AS main_tag_count FROM tags GROUP BY main_tag),

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from reelsift import lookups
+from reelsift.functions.values import map_literal
 from reelsift.operators import joins, observed, quality
 from reelsift.operators.dedup import display_duplicates
 from reelsift.operators.enrich import pending_rows
@@ -126,6 +128,25 @@ def _(t):
     return kept.select("doc_id", "lang")
 
 
+SCRIPTS = """(SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'ニュース ' WHEN 1 THEN 'أخبار ' WHEN 2 THEN '뉴스 ' WHEN 3 THEN '新闻 ' WHEN 4 THEN 'समाचार ' WHEN 5 THEN 'ข่าว '
+    WHEN 6 THEN 'Новости ' ELSE 'Éà ' END || page_id AS title FROM pages)"""
+
+
+def titles_in_scripts(t):
+    words = {0: "ニュース ", 1: "أخبار ", 2: "뉴스 ", 3: "新闻 ", 4: "समाचार ", 5: "ข่าว ", 6: "Новости ", 7: "Éà "}
+    return t.pages.select("page_id", F.concat(map_literal(words)[(F.col("page_id") % 8).cast("int")], "page_id").alias("title"))
+
+
+@query("w6_default_scripts", f"SELECT page_id, title FROM {SCRIPTS} WHERE page_id % 8 < 6")
+def _(t):
+    return quality.filter_non_english_values(titles_in_scripts(t))
+
+
+@query("w6_default_scripts_and_cyrillic", f"SELECT page_id, title FROM {SCRIPTS} WHERE page_id % 8 = 7")
+def _(t):
+    return quality.filter_non_english_values(titles_in_scripts(t), lookups.NON_LATIN_AND_CYRILLIC_BLOCKS, exclude_non_english=True)
+
+
 @query(
     "w7_prefix_removed",
     """SELECT p_partkey, p_name FROM part
