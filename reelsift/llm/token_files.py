@@ -12,8 +12,8 @@ Layout of a folder:
 Null and empty texts are one end id. Repeated ``doc_id`` are written next to each other, ordered by text; rows
 without ``doc_id`` come first. Other columns are ignored.
 
-A text cannot make a special token: ``<|endoftext|>`` in a text becomes the ids of its characters, where the tokenizer's plain
-``encode(text, add_special_tokens=False)`` gives the added token's one id. Other texts have the same ids either way.
+The ids are those of the tokenizer's own ``encode(text, add_special_tokens=False)``: where a text holds ``<|endoftext|>``, that is the
+one id of the added token. A pipeline that has to keep texts from making it escapes them before.
 """
 
 from __future__ import annotations
@@ -29,22 +29,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import prefix_hashes, ranges_for, slices, span_hashes, text_buffers
+from reelsift.llm.common import eights, ranges_for, same_strings, slices, text_buffers, word_hashes
 from reelsift.session import shared_root
 
 END_ID = 2
 DATA_SCHEMA = "shard int, doc_id long, local_start long, n_tokens long, ids array<int>"
 LAYOUT = {
     "compression": "zstd",
-    "parquet.block.size": str(32 << 20),
+    "parquet.block.size": str(16 << 20),
     "parquet.page.row.count.limit": "2000",
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
     "parquet.enable.dictionary#doc_id": "false",
     "parquet.enable.dictionary#local_start": "false",
 }
-#: Distinct pieces of text whose ids a Python worker keeps.
-MEMO_ENTRIES = 2_000_000
+#: Distinct pieces of text whose ids a Python worker keeps, and the bytes that they may take; longer pieces are not kept.
+MEMO_ENTRIES, MEMO_BYTES, MEMO_PIECE = 1_000_000, 40 << 20, 64
 _SLICE = 1 << 20
 
 
@@ -69,62 +69,93 @@ class PieceEncoder:
 
     A piece ends before a blank that follows a visible character. The vocabulary's splitting pattern never joins
     characters across such a place and looks no further ahead than the white space that follows, so the ids of the
-    pieces, one after another, are the ids of the text.
+    pieces, one after another, are the ids of the text. Pieces are found by a hash and then compared byte by byte.
     """
 
-    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
+    def __init__(self, path: str, entries: int = MEMO_ENTRIES, size: int = MEMO_BYTES):
         # A task has one core; it is not to share out its batches over all of the machine's.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.entries = entries
+        self.entries, self.bytes = entries, size
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.checks, self.place, self.size = (np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
-        self.flat = np.zeros(0, "<i4")
-
-    def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[bytes]) -> None:
-        done = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        size = np.array([len(x) for x in done], np.int64)
-        flat = np.fromiter(chain.from_iterable(done), "<i4", int(size.sum()))
-        place = len(self.flat) + np.cumsum(size) - size
+        # Hashes in order and the number of the piece that each is of; the pieces' bytes and ids, one after another.
+        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.text, self.text_at = np.zeros(0, np.uint8), np.zeros(1, np.int32)
+        self.ids, self.ids_at = np.zeros(0, "<i4"), np.zeros(1, np.int32)
+
+    def _size(self) -> int:
+        return sum(x.nbytes for x in (self.keys, self.number, self.text, self.text_at, self.ids, self.ids_at))
+
+    def _learn(self, keys: np.ndarray, texts: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Keep pieces whose hashes are new; ``ids`` has theirs, one piece after another."""
+        keep = np.array([len(t) <= MEMO_PIECE for t in texts], bool)
+        flat = ids[np.repeat(keep, sizes)]
+        texts, keys, sizes = [t for t, k in zip(texts, keep.tolist(), strict=True) if k], keys[keep], sizes[keep]
+        if len(self.keys) + len(keys) > self.entries or self._size() > self.bytes:
+            self._forget()
+            keys, texts, sizes = keys[: self.entries], texts[: self.entries], sizes[: self.entries]
+            flat = flat[: int(sizes.sum())]
         order = np.argsort(keys)
+        numbers = len(self.number) + np.arange(len(keys), dtype=np.int32)
         at = np.searchsorted(self.keys, keys[order])
-        for name, values in (("keys", keys), ("checks", checks), ("place", place), ("size", size)):
-            setattr(self, name, np.insert(getattr(self, name), at, values[order]))
-        self.flat = np.concatenate((self.flat, flat))
-
-    def _known(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each key is, and whether it is the same piece's."""
+        self.keys, self.number = np.insert(self.keys, at, keys[order]), np.insert(self.number, at, numbers[order])
+        lengths = np.array([len(t) for t in texts], np.int32)
+        self.text_at = np.concatenate((self.text_at, self.text_at[-1] + np.cumsum(lengths, dtype=np.int32)))
+        self.ids_at = np.concatenate((self.ids_at, self.ids_at[-1] + np.cumsum(sizes, dtype=np.int32)))
+        self.text, self.ids = np.concatenate((self.text, np.frombuffer(b"".join(texts), np.uint8))), np.concatenate((self.ids, flat))
+
+    def _known(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each hash is kept, whether it is this piece's, and the number of the piece that has it."""
         if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+            return np.zeros(len(keys), bool), np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+        met = self.keys[at] == keys
+        number = self.number[at].astype(np.int64)
+        own = met & (np.diff(self.text_at)[number] == length)
+        there = self.text_at[number]
+        left = np.flatnonzero(own)
+        for k in range(MEMO_PIECE):  # byte by byte; pieces are short
+            left = left[length[left] > k]
+            if not len(left):
+                break
+            own[left] &= data[start[left] + k] == self.text[there[left] + k]
+        return met, own, number
+
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        done = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        sizes = np.array([len(x) for x in done], np.int64)
+        return sizes, np.fromiter(chain.from_iterable(done), "<i4", int(sizes.sum()))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, each row's followed by ``end_id``, and how many each row has."""
         start = piece_starts(data, offsets)
         end = np.append(start[1:], len(data)) if len(start) else start
-        keys, first, piece = np.unique(span_hashes(prefix_hashes(data), start, end), return_index=True, return_inverse=True)
-        padded = np.append(data, np.zeros(8, np.uint8))
-        checks = (end - start)[first].astype(np.uint64) << np.uint64(56)  # with the first bytes: tells other pieces of equal hash
-        for k in range(7):
-            inside = start[first] + k < end[first]
-            checks |= np.where(inside, padded[start[first] + k], 0).astype(np.uint64) << np.uint64(8 * k)
-        _, known = self._known(keys, checks)
-        if not known.all():
-            if len(self.keys) + int((~known).sum()) > self.entries:
-                self._forget()
-                known[:] = False
-            whole, new = data.tobytes(), first[~known]
-            pieces = [whole[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
-            self._learn(keys[~known], checks[~known], pieces)
-        at, _ = self._known(keys, checks)
-        flat, place, n = self.flat, self.place[at][piece], self.size[at][piece]
-        ids = flat[np.repeat(place - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        keys, first, piece = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
+        bytes_and_eights, length = (data, eights(data)), end - start
+        # A piece that has another one's hash is a piece of its own; that never happens but for strings made to do so.
+        other = np.flatnonzero((length != length[first][piece]) | ~same_strings(bytes_and_eights, start, bytes_and_eights, start[first][piece], np.minimum(length, length[first][piece])))
+        piece[other] = len(first) + np.arange(len(other))
+        first = np.concatenate((first, other))
+        met, known, number = self._known(keys, data, start[first[: len(keys)]], length[first[: len(keys)]])
+        lone = np.ones(len(other), bool)
+        met, known, number = np.concatenate((met, lone)), np.concatenate((known, ~lone)), np.concatenate((number, np.zeros(len(other), np.int64)))
+        whole, new = data.tobytes(), np.flatnonzero(~known)
+        texts = [whole[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
+        sizes, fresh_ids = self._encoded(texts) if len(new) else (np.zeros(0, np.int64), np.zeros(0, "<i4"))
+        flat = np.concatenate((self.ids, fresh_ids))
+        place, size = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        place[known], size[known] = self.ids_at[number[known]], np.diff(self.ids_at)[number[known]]
+        place[new], size[new] = len(self.ids) + np.cumsum(sizes) - sizes, sizes
+        learnt = np.flatnonzero(~met[new])
+        if len(learnt):
+            mask = ~met[new]
+            self._learn(keys[new[learnt]], [texts[k] for k in learnt.tolist()], sizes[learnt], fresh_ids[np.repeat(mask, sizes)])
+        at, n = place[piece], size[piece]
+        ids = flat[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
         ends = np.append(0, np.cumsum(n))[np.searchsorted(start, offsets[1:])]
         return np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
 
