@@ -84,11 +84,14 @@ def _ratio(ranks: str, pattern: str) -> TokenRatio:
     return _RATIOS[ranks, pattern]
 
 
-def _outside(start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """The parts of ``[start, end)`` that no stated pattern covers; ``base`` is sorted by start."""
+def _outside(start: int, end: int, base: list[tuple[int, int, int]], low: int) -> list[tuple[int, int]]:
+    """The parts of ``[start, end)`` that no stated pattern covers; ``base`` is sorted by start, those before ``low`` end before."""
     parts = []
-    for a, _, b in base:
-        if a < end and start < b:
+    for k in range(low, len(base)):
+        a, _, b = base[k]
+        if a >= end:
+            break
+        if start < b:
             if a > start:
                 parts.append((start, a))
             start = b
@@ -107,8 +110,12 @@ def text_spans(text: str, ratio, limit: float = MAX_CHARS_PER_TOKEN) -> list[tup
     """(start, kind, end, ratio) of everything found in a text; the method's spans have no base span inside or around them."""
     base = _base_spans(text)
     spans: list[tuple[int, int, int, float | None]] = [(a, k, b, None) for a, k, b in base]
+    low = 0
     for m in _RUN.finditer(text):
-        parts = _outside(m.start(), m.end(), base)
+        # Runs and base spans both go on through the text, so each is passed once.
+        while low < len(base) and base[low][2] <= m.start():
+            low += 1
+        parts = _outside(m.start(), m.end(), base, low)
         groups = [[p] for p in parts if p[1] - p[0] >= MIN_LENGTH] + [[p for p in parts if p[1] - p[0] < MIN_LENGTH]]
         for spots in groups:
             if (r := _dense([text[a:b] for a, b in spots], ratio, limit)) is not None:

@@ -68,3 +68,28 @@ def test_keys_in_one_case_and_around_patterns(make_docs):
     around = lambda n: f"dense:2:{2 + n},hex:{2 + n}:{26 + n},dense:{26 + n}:{26 + 2 * n}"
     assert [got[k].spans for k in range(4)] == [whole(keys[0]), whole(keys[1]), around(24), around(12)]
     assert [got[4 + k].n_dense for k in range(len(words))] == [0] * len(words)
+
+
+def test_many_stated_spans_in_one_text_are_passed_once():
+    import time
+
+    text = "\n".join(hashlib.sha1(str(k).encode()).hexdigest() for k in range(100_000))
+    start = time.time()
+    spans = secrets.text_spans(text, lambda run: 2.0)
+    assert len(spans) == 100_000 and time.time() - start < 5
+
+
+def test_dense_spans_equal_plain_ratios():
+    import random
+
+    rng, ratio = random.Random(3), secrets._ratio(RANKS, PATTERN)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+    runs = ["".join(rng.choices(letters, k=rng.randint(15, 60))) for _ in range(300)] + ["internationalization", "a" * 25, "token_of_appreciation_and", "2024-01-01-2024-01-01-00"]
+    for run in runs:
+        got = [(a, b) for a, k, b, _ in secrets.text_spans(f"é {run} .", ratio) if k == len(secrets.KINDS)]
+        # Runs without a stated pattern inside are judged whole.
+        if any(secrets._base_spans(run)) or len(run) < 20:
+            continue
+        plain = len(run) / len(ratio.encoding.encode_ordinary(run))
+        limit = 1.9 if secrets.in_one_case(run) else 2.2
+        assert got == ([(2, 2 + len(run))] if plain < limit and not secrets.harmless(run) else []), run
