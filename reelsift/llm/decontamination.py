@@ -10,7 +10,7 @@ Items and texts are compared as UTF-8 with white space as one blank and ASCII an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.llm.common import packed, slices, text_buffers
+from reelsift.session import durable
 
 Q = 8
 EDIT_RATE = 0.1
 #: Bytes of items that are looked for in one pass over the documents; a larger benchmark takes several passes.
 PASS_BYTES = 8 << 20
+#: Places of q-grams in items that are counted at a time; more are counted in runs of texts, or of overlapping parts of a text.
+HITS = 1_500_000
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[65:91] += 32
 _FOLDED[9:14] = 32
@@ -165,6 +168,27 @@ def matches(data: np.ndarray, offsets: np.ndarray, index: ItemIndex, q: int) ->
         yield r, i, edits, begin - int(offsets[r]), end - int(offsets[r])
 
 
+def _runs(before: np.ndarray, at: np.ndarray, reach: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first row, last row + 1, begin, end): runs of rows, and parts of a row, with about ``HITS`` places in each.
+
+    ``before[k]`` is the number of places that begin before byte ``k``. Parts of a row overlap by ``reach``, so what is not longer
+    lies in one of them.
+    """
+    row, rows = 0, len(at) - 1
+    while row < rows:
+        last = int(np.searchsorted(before[at], before[at[row]] + HITS, side="right")) - 1
+        if last > row:
+            yield row, min(last, rows), int(at[row]), int(at[min(last, rows)])
+            row = min(last, rows)
+            continue
+        begin, end = int(at[row]), int(at[row + 1])
+        while begin < end:
+            cut = max(int(np.searchsorted(before, before[begin] + HITS, side="right")) - 1, begin + 1)
+            yield row, row + 1, begin, min(cut + reach, end)
+            begin = end if cut + reach >= end else cut
+        row += 1
+
+
 def _long_matches(text: np.ndarray, at: np.ndarray, place: np.ndarray, index: ItemIndex, q: int, best: dict[tuple[int, int], tuple[int, int, int]]) -> None:
     """Puts (edits, start, end) of the best place of each item of ``q`` bytes and more in each row into ``best``."""
     grams = packed(text, q)
@@ -172,9 +196,28 @@ def _long_matches(text: np.ndarray, at: np.ndarray, place: np.ndarray, index: It
     found = np.minimum(np.searchsorted(index.grams, grams[hit]), len(index.grams) - 1)
     same = index.grams[found] == grams[hit]
     hit, found = hit[same], found[same]
+    places = np.zeros(len(text) + 1, np.int64)
+    places[hit + 1] = index.first[found + 1] - index.first[found]
+    reach = max(map(len, index.items)) + int(index.edits.max()) + 1
+    for first, last, begin, end in _runs(np.cumsum(places), at, reach):
+        some = slice(int(np.searchsorted(hit, begin)), int(np.searchsorted(hit, end)))
+        part: dict[tuple[int, int], tuple[int, int, int]] = {}
+        borders = np.clip(at[first : last + 1], begin, end) - begin
+        _run_matches(text[begin:end], borders, place[begin:end], hit[some] - begin, found[some], index, q, part)
+        for (r, i), spot in part.items():
+            if (r + first, i) not in best or spot < best[r + first, i]:
+                best[r + first, i] = spot
+
+
+def _run_matches(
+    text: np.ndarray, at: np.ndarray, place: np.ndarray, hit: np.ndarray, found: np.ndarray, index: ItemIndex, q: int, best: dict[tuple[int, int], tuple[int, int, int]]
+) -> None:
+    """:func:`_long_matches` of a run of rows: ``hit`` has the places of known q-grams, ``found`` their numbers."""
     row = np.searchsorted(at, hit, side="right") - 1
-    within = hit + q <= at[row + 1]
+    within = hit + q <= at[np.minimum(row + 1, len(at) - 1)]
     hit, found, row = hit[within], found[within], row[within]
+    if not len(hit):
+        return
     n = index.first[found + 1] - index.first[found]
     post = np.repeat(index.first[found] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     item, row = index.item[post], np.repeat(row, n)
@@ -208,14 +251,18 @@ def _long_matches(text: np.ndarray, at: np.ndarray, place: np.ndarray, index: It
             best[r, i] = spot
 
 
-def _passes(benchmark: DataFrame, q: int, rate: float) -> Iterator[ItemIndex]:
-    """The benchmark in parts of bounded size: only one part is with the driver and in a task at a time."""
+def _passes(benchmark: DataFrame, q: int, rate: float) -> Iterator[Callable[[], ItemIndex]]:
+    """The benchmark in parts of bounded size, each read when it is called: one part is with the driver at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // PASS_BYTES)
-    for k in range(n):
+
+    def read(k: int) -> ItemIndex:
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield ItemIndex.of(sorted((r.item_id if r.item_id is not None else -1, r.text) for r in part.collect()), q, rate)
+        return ItemIndex.of(sorted((r.item_id if r.item_id is not None else -1, r.text) for r in part.collect()), q, rate)
+
+    for k in range(n):
+        yield lambda k=k: read(k)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE) -> DataFrame:
@@ -238,8 +285,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
     schema = "doc_id long, item_id long, edits long, start_byte long, end_byte long"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], schema)
-    for index in _passes(benchmark, q, rate):
-        found = found.unionByName(texts.mapInArrow(search(index), schema))
+    parts = list(_passes(benchmark, q, rate))
+    for part in parts:
+        passed = texts.mapInArrow(search(part()), schema)
+        # Of several passes each is run and written by itself, so that the items of one are in a task at a time.
+        found = found.unionByName(durable(passed) if len(parts) > 1 else passed)
     return found
 
 
@@ -256,6 +306,8 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: f
 
         return read
 
-    for index in _passes(benchmark, q, rate):
-        docs = docs.mapInArrow(search(index), docs.schema)
+    parts = list(_passes(benchmark, q, rate))
+    for part in parts:
+        docs = docs.mapInArrow(search(part()), docs.schema)
+        docs = durable(docs) if len(parts) > 1 else docs
     return docs

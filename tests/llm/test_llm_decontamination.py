@@ -118,3 +118,29 @@ def test_items_of_few_bytes(spark, make_docs):
     found = sorted((r.doc_id, r.item_id, r.edits, r.start_byte, r.end_byte) for r in dc.contamination(docs, bench).collect())
     assert found == [(1, 1, 0, 4, 7), (1, 2, 0, 4, 7), (4, 4, 0, 3, 11)]
     assert sorted(r.doc_id for r in dc.without_benchmark(docs, bench).collect()) == [2, 3, 5, 6]
+
+
+def test_runs_of_places_agree(items, prose, monkeypatch):
+    index = dc.ItemIndex.of([r for r in items if r[1]], dc.Q, dc.EDIT_RATE)
+    texts = [f"{prose(9, k)} {items[k % 20][1]} {prose(9, 50 + k)}".encode() for k in range(30)] + [b"", b"x"]
+    texts += [" ".join(f"{prose(30, 900 + k)} {items[k][1]}" for k in range(20)).encode()] * 2
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole = list(dc.matches(data, offsets, index, dc.Q))
+    assert len(whole) >= 70
+    for hits in (1, 60, 1000):
+        monkeypatch.setattr(dc, "HITS", hits)
+        assert list(dc.matches(data, offsets, index, dc.Q)) == whole
+
+
+def test_places_of_common_q_grams_are_bounded():
+    import tracemalloc
+
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(60)]
+    items = [(k, " ".join(rng.choices(words, k=30))) for k in range(2_000)]
+    index = dc.ItemIndex.of(items, dc.Q, dc.EDIT_RATE)
+    text = " ".join(rng.choices(words, k=12_000) + [items[77][1]] + rng.choices(words, k=2_000)).encode()
+    tracemalloc.start()
+    found = list(dc.matches(np.frombuffer(text, np.uint8), np.array([0, len(text)]), index, dc.Q))
+    assert (0, 77, 0) in {f[:3] for f in found} and tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
