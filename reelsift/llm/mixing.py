@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import ordered_sums, task_partitions
+from reelsift.llm.common import fresh, ordered_sums, task_partitions
 from reelsift.session import durable
 
 MAX_PASSES = 3
@@ -111,7 +111,8 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, budget: float
 def mixed_documents(docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None, seed: int = 0, max_passes: int = MAX_PASSES) -> DataFrame:
     """The mix itself: the rows of ``docs``, all columns kept, each as often as it is taken."""
     plan = _plan(docs, weights, budget, seed, max_passes).where("copies > 0")
-    left, right = docs.withColumn("_shuffled", _entry_hash(seed)).alias("l"), plan.alias("r")
-    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("doc_id", "source", "_shuffled")]
-    repeated = left.join(right, on).select("l.*", F.explode(F.sequence(F.lit(1), F.col("r.copies"))).alias("_copy"))
+    own, copy = fresh(docs, "_shuffled"), fresh(docs, "_copy")
+    left, right = docs.withColumn(own, _entry_hash(seed)).alias("l"), plan.alias("r")
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("doc_id", "source")] + [F.col(f"l.{own}") == F.col("r._shuffled")]
+    repeated = left.join(right, on).select("l.*", F.explode(F.sequence(F.lit(1), F.col("r.copies"))).alias(copy))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import slices, text_buffers
+from reelsift.llm.common import fresh, slices, text_buffers
 from reelsift.session import durable
 
 TRAIN_ROWS = 20_000
@@ -147,15 +147,16 @@ class ToxicityModel:
     calibration: IsotonicRegressionModel | None
     prior: float
 
-    def scores(self, docs: DataFrame, keep: list[str]) -> DataFrame:
-        """``keep`` columns of every row of ``docs`` and ``score``, the calibrated probability of label 1."""
-        rows = with_features(docs, self.lexicon, keep)
+    def scores(self, docs: DataFrame, keep: list[str], name: str = "score") -> DataFrame:
+        """``keep`` columns of every row of ``docs`` and ``name``, the calibrated probability of label 1."""
+        inner = [f"_kept{k}" for k in range(len(keep))]  # so that no kept column is called as the model's own are
+        rows = with_features(docs, self.lexicon, keep).toDF(*inner, "_features")
+        kept = [F.col(i).alias(c) for i, c in zip(inner, keep, strict=True)]
         if self.trees is None:
-            return rows.withColumn("score", F.lit(self.prior)).drop("_features")
+            return rows.select(*kept, F.lit(self.prior).alias(name))
         raw = self.trees.transform(rows.withColumn("_features", array_to_vector("_features")))
-        raw = raw.withColumn("_raw", vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
-        scored = self.calibration.transform(raw)
-        return scored.select(*[F.col(f"`{c}`") for c in keep], F.greatest(F.least("_score", F.lit(1.0)), F.lit(0.0)).alias("score"))
+        scored = self.calibration.transform(raw.withColumn("_raw", vector_to_array("probability")[1]).select(*inner, "_raw"))
+        return scored.select(*kept, F.greatest(F.least("_score", F.lit(1.0)), F.lit(0.0)).alias(name))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, trees: int = TREES) -> ToxicityModel:
@@ -198,5 +199,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: list[str], rows: in
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with their columns."""
-    return score_toxicity(docs, labels, docs.columns, rows).where("predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that are not predicted toxic, with their columns, whatever these are called."""
+    score = fresh(docs, "score")
+    scored = train_toxicity(docs, labels, rows).scores(docs, docs.columns, score)
+    return scored.where(F.col(score) < THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,6 +2,9 @@
 
 import hashlib
 import random
+import re
+
+import xxhash
 
 from reelsift.llm import fingerprints
 
@@ -56,3 +59,28 @@ def test_neighbours_are_counted_with_copies(spark):
 def test_no_python_in_the_plan(make_docs):
     plan = fingerprints.edited_fingerprints(make_docs([(1, "a"), (2, "b")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_fingerprint(text):
+    """Votes of one term after another, with the hash of both words by its own definition."""
+    words = [w for w in re.split(r"[\x09-\x0d\x20]+", (text or "").strip(" ")) if w]
+    words = words or [""]
+    pairs = list(zip(words, words[1:])) + [(words[-1], None)]
+    votes, total = [0] * 64, 0
+    for a, b in pairs:
+        h = 42
+        for w in (a, b):
+            if w is not None:
+                h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+        weight = len(a) + len(b or "")
+        total += weight
+        for bit in range(64):
+            votes[bit] += weight * (h >> bit & 1)
+    return sum(1 << bit for bit in range(64) if 2 * votes[bit] > total)
+
+
+def test_fingerprints_equal_plain_votes(make_docs, prose):
+    texts = [prose(k, k) for k in (1, 2, 3, 7, 40, 400)] + ["", None, " \t\n ", "a", "a a a a", "é\U0001f600 ñ  x\ty", "x" * 3000, " lead and trail \n"]
+    got = {r.doc_id: r.fingerprint % (1 << 64) for r in fingerprints.fingerprint_documents(make_docs(list(enumerate(texts)))).collect()}
+    for k, text in enumerate(texts):
+        assert got[k] == (plain_fingerprint(text) if (text or "").strip(" \t\n\r\v\f") else got[6]), k

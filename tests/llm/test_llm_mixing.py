@@ -85,3 +85,11 @@ def test_given_weights_and_budget(spark, make_docs):
 def test_no_python_in_the_plan(make_docs):
     plan = mixing.mix_sources(make_docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_columns_called_like_the_operators_own(make_docs, prose):
+    docs = make_docs(rows_of(prose)).withColumnsRenamed({"lang": "_shuffled", "n": "_copy", "k": "copies", "s": "target"})
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {r["_shuffled"] for r in mixed.collect()} == {"en"} and {r["_copy"] for r in mixed.collect()} == {2}
+    count = Counter((r.doc_id, r.source) for r in mixed.collect())
+    assert count == Counter({(r.doc_id, r.source): r.copies for r in mixing.mix_sources(docs.select("doc_id", "text", "source")).collect() if r.copies})

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from reelsift.llm import common, near_duplicates
 from reelsift.llm.components import connected_components
