@@ -35,9 +35,11 @@ SAMPLE, SAMPLE_ROWS, RECALL = 128, 4096, 0.95
 #: Settings to choose from: projections of a table, and the width of a cell in units of a neighbour's usual distance.
 PROJECTIONS, WIDTHS = (4, 6, 8), (1.5, 2.0, 3.0)
 #: A probe's own cost in comparisons, about: it brings the query's vector once more.
-PROBE_COST = 50
+PROBE_COST = 300
 #: Rows of a piece of a bucket.
-CHUNK = 4096
+CHUNK = 2048
+#: Found rows that a task holds.
+HELD = 1_000_000
 #: Crowded buckets that are sent to all tasks at most; with more, their sizes are joined by a shuffle.
 SENT_BUCKETS = 200_000
 _ASKED = 512
@@ -280,15 +282,28 @@ def _probing(distinct: DataFrame, settings: Settings, kind: str, width: int) ->
 
 
 def _met(together: DataFrame, kind: str, width: int, n: int) -> DataFrame:
-    """``query, rep, score`` of rows sorted by piece, a piece's rows (``role`` 0) before its probes: each probe's ``n`` nearest there."""
+    """``query, rep, score`` of rows sorted by piece, a piece's rows (``role`` 0) before its probes: each query's ``n`` nearest in the task.
+
+    What a query has found in several buckets is merged here already, so it leaves the task as ``n`` rows and not as ``n`` a probe.
+    """
+
+    def merged(found: list[tuple]) -> tuple[np.ndarray, ...]:
+        query, rep, score = (np.concatenate([f[k] for f in found]) for k in range(3))
+        order = np.lexsort((rep, -score, query))
+        query, rep, score = query[order], rep[order], score[order]
+        new = np.ones(len(query), bool)
+        new[1:] = (query[1:] != query[:-1]) | (rep[1:] != rep[:-1])  # a row met in two tables has one score
+        query, rep, score = query[new], rep[new], score[new]
+        keep = np.arange(len(query)) - np.searchsorted(query, query) < n
+        return query[keep], rep[keep], score[keep]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, ids, rows = None, np.zeros(0, np.int64), np.zeros((0, width))
+        held, n_held = [], 0
         for batch in batches:
             key, salt, role = (batch.column(c).to_numpy() for c in ("key", "salt", "role"))
             reps, vectors = batch.column("rep").to_numpy(), _rows(batch.column("vector"), kind, width)
             changes = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | (role[1:] != role[:-1])) + 1
-            told = []
             for a, b in zip([0, *changes.tolist()], [*changes.tolist(), len(key)], strict=True):
                 if role[a] == 0:
                     more = piece == (key[a], salt[a])
@@ -296,9 +311,16 @@ def _met(together: DataFrame, kind: str, width: int, n: int) -> DataFrame:
                     piece = (key[a], salt[a])
                 elif piece == (key[a], salt[a]):  # else nothing is in the bucket
                     q, r, score = _best(vectors[a:b], rows, ids, n)
-                    told.append((reps[a:b][q], ids[r], score))
-            if told:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t[k] for t in told])) for k in range(3)], ["query", "rep", "score"])
+                    held.append((reps[a:b][q], ids[r], score))
+                    n_held += len(q)
+                if n_held > HELD:
+                    held = [merged(held)]
+                    n_held = len(held[0][0])
+                    if n_held > HELD // 2:  # of many queries
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["query", "rep", "score"])
+                        held, n_held = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged(held)], ["query", "rep", "score"])
 
     return together.mapInArrow(read, "query long, rep long, score double")
 

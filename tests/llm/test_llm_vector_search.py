@@ -82,6 +82,7 @@ def test_pieces_of_crowded_buckets_change_nothing(spark, monkeypatch):
     whole = found(vector_search.nearest_neighbours(frame(spark, rows)))
     monkeypatch.setattr(vector_search, "CHUNK", 7)
     monkeypatch.setattr(vector_search, "SENT_BUCKETS", 3)
+    monkeypatch.setattr(vector_search, "HELD", 100)
     assert found(vector_search.nearest_neighbours(frame(spark, rows))) == whole
 
 
