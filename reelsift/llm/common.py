@@ -172,17 +172,17 @@ def same_strings(a: tuple[np.ndarray, np.ndarray], at_a: np.ndarray, b: tuple[np
     return out
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, eight: np.ndarray | None = None) -> np.ndarray:
     """64-bit hashes of the byte strings ``[start, end)``, eight bytes after eight, each step mixed before the next.
 
     Unlike :func:`span_hashes`, which is a polynomial modulo 2**64, no pattern of bytes makes different strings meet: with the
-    same beginning, strings that differ in one step differ after it.
+    same beginning, strings that differ in one step differ after it. ``eight`` is :func:`eights` of ``data``, if it is there already.
     """
     length = end - start
     out = mixed(length.astype(np.uint64) + _MULTIPLIER)
     if not len(out):
         return out
-    eight = eights(data)
+    eight = eights(data) if eight is None else eight
     some = np.flatnonzero(length <= _LONG)
     for k in range(0, _LONG, 8):
         some = some[length[some] > k]

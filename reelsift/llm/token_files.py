@@ -44,7 +44,7 @@ LAYOUT = {
     "parquet.enable.dictionary#local_start": "false",
 }
 #: Distinct pieces of text whose ids a Python worker keeps, and the bytes that they may take; longer pieces are not kept.
-MEMO_ENTRIES, MEMO_BYTES, MEMO_PIECE = 1_000_000, 40 << 20, 64
+MEMO_ENTRIES, MEMO_BYTES, MEMO_PIECE = 1_500_000, 72 << 20, 64
 _SLICE = 1 << 20
 
 
@@ -134,8 +134,8 @@ class PieceEncoder:
         """The ids of all rows, each row's followed by ``end_id``, and how many each row has."""
         start = piece_starts(data, offsets)
         end = np.append(start[1:], len(data)) if len(start) else start
-        keys, first, piece = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
         bytes_and_eights, length = (data, eights(data)), end - start
+        keys, first, piece = np.unique(word_hashes(data, start, end, bytes_and_eights[1]), return_index=True, return_inverse=True)
         # A piece that has another one's hash is a piece of its own; that never happens but for strings made to do so.
         other = np.flatnonzero((length != length[first][piece]) | ~same_strings(bytes_and_eights, start, bytes_and_eights, start[first][piece], np.minimum(length, length[first][piece])))
         piece[other] = len(first) + np.arange(len(other))

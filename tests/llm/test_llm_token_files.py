@@ -109,7 +109,7 @@ def test_pieces_alike_under_polynomial_hashes_differ(tokenizer, n):
 
 def test_pieces_that_share_a_hash_are_compared(tokenizer, monkeypatch):
     # Hashes of the length alone: every piece of one length meets every other.
-    monkeypatch.setattr(token_files, "word_hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    monkeypatch.setattr(token_files, "word_hashes", lambda data, start, end, eight: (end - start).astype(np.uint64))
     encoder = token_files.PieceEncoder(PATH)
     for texts in (["ab cd ef", "cd ab"], ["xy cd", "ab " * 50], ["", "q" * 300 + " " + "r" * 300]):
         ids, n = encoder.encode(*common.text_buffers(pa.array(texts)), 2)
