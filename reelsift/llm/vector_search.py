@@ -189,6 +189,32 @@ class Settings:
     compared: float
 
 
+def _measured(hashing: Hashing, queries: np.ndarray, whose: np.ndarray, neighbours: np.ndarray, others: np.ndarray, wanted: float) -> Settings | None:
+    """The probes that find ``wanted`` of the true neighbours, and the share of ``others`` that they bring; None where no number does."""
+    places = 3 ** np.arange(hashing.k - 1, -1, -1)
+    tables = np.arange(TABLES) * 3**hashing.k
+    cells, inside = hashing.of_queries(queries)
+    spots = lambda away: ((np.abs(away) <= 1).all(2), (np.clip(away, -1, 1) + 1) @ places + tables)
+    close, at = spots(hashing.of_rows(neighbours) - cells[whose])
+    # Buckets that are visited up to and with the one that has the neighbour; a query's scores at a time.
+    visits = np.full(len(whose), 1 << 30)
+    for q in range(len(queries)):
+        mine = np.flatnonzero((whose == q) & close.any(1))
+        scores = hashing.scores(inside[q : q + 1])[0]
+        needed = np.where(close[mine], scores[at[mine]], np.inf).min(1)
+        visits[mine] = np.searchsorted(np.sort(scores), needed, side="right")
+    probes = int(np.sort(visits)[min(int(np.ceil(wanted * len(visits))), len(visits)) - 1])
+    if probes > TABLES * 3**hashing.k:
+        return None
+    row_cells, compared = hashing.of_rows(others), 0
+    for q in range(len(queries)):
+        scores = hashing.scores(inside[q : q + 1])[0]
+        limit = np.partition(scores, probes - 1)[probes - 1]
+        near, spot = spots(row_cells - cells[q])
+        compared += int((near & (scores[spot] <= limit)).sum())
+    return Settings(hashing, probes, float((visits <= probes).mean()), compared / (len(queries) * len(others)))
+
+
 def fit(distinct: DataFrame, kind: str, width: int, nearest: int = NEAREST, wanted: float = RECALL) -> Settings | None:
     """Settings for the vectors of ``distinct`` (``rep``, ``vector``, ``asks``); None where there are none to look for."""
     # No more rows than SAMPLE and SAMPLE_ROWS come to the driver, and no more than 64 MB of vectors.
@@ -225,30 +251,11 @@ def fit(distinct: DataFrame, kind: str, width: int, nearest: int = NEAREST, want
     best = None
     for k in PROJECTIONS:
         for times in WIDTHS:
-            hashing = Hashing(width, k, times * usual, norm)
-            cells, inside = hashing.of_queries(queries)
-            scores = hashing.scores(inside)
-            order = np.sort(scores, axis=1)
-            steps = hashing.of_rows(neighbours) - cells[whose]
-            reach = (np.abs(steps) <= 1).all(2)
-            at = (np.clip(steps, -1, 1) + 1) @ 3 ** np.arange(k - 1, -1, -1) + np.arange(TABLES) * 3**k
-            needed = np.where(reach, np.take_along_axis(scores[whose], at, 1), np.inf).min(1)
-            # Buckets that are visited up to and with the one that has the neighbour.
-            visits = np.array([np.searchsorted(order[q], x, side="right") if np.isfinite(x) else 1 << 30 for q, x in zip(whose, needed, strict=True)])
-            probes = int(np.sort(visits)[min(int(np.ceil(wanted * len(visits))), len(visits)) - 1])
-            if probes > scores.shape[1]:
-                continue
-            limit = order[:, probes - 1]
-            row_cells, compared = hashing.of_rows(others), 0
-            for q in range(len(queries)):
-                away = row_cells - cells[q]
-                close = (np.abs(away) <= 1).all(2)
-                spot = (np.clip(away, -1, 1) + 1) @ 3 ** np.arange(k - 1, -1, -1) + np.arange(TABLES) * 3**k
-                compared += int((close & (scores[q][spot] <= limit[q])).sum())
-            share = compared / (len(queries) * len(others))
-            cost = share * n + probes * PROBE_COST
-            if best is None or cost < best[0]:
-                best = cost, Settings(hashing, probes, float((visits <= probes).mean()), share)
+            found_at = _measured(Hashing(width, k, times * usual, norm), queries, whose, neighbours, others, wanted)
+            if found_at is not None:
+                cost = found_at.compared * n + found_at.probes * PROBE_COST
+                if best is None or cost < best[0]:
+                    best = cost, found_at
     if best is None:  # no setting reaches so many: one bucket for all, every query is compared with every row
         return Settings(Hashing(width, PROJECTIONS[0], 1e6, norm), TABLES * 3 ** PROJECTIONS[0], 1.0, float(TABLES))
     return best[1]
