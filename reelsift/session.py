@@ -53,6 +53,13 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root()
 
 
+def table_root(spark: SparkSession, table: str) -> str:
+    """Where a table's own data goes if nobody says: beside its database's tables, not among intermediate results."""
+    database, _, name = table.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{place.rstrip('/')}/{name}__data"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from there.
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from reelsift.operators.dedup import drop_duplicates_by_ordered_partition
 from reelsift.operators.ranking import global_row_number
-from reelsift.session import durable, shared_root
+from reelsift.session import durable, table_root
 
 PART = "key_part"
 #: Exceptions that are sent to all tasks at most; more are joined by a shuffle.
@@ -44,7 +44,7 @@ class KeyTable:
             raise ValueError(f"ids are dense or hashed, not {ids}")
         self.spark, self.name, self.hashes = spark, name, hashes
         if not spark.catalog.tableExists(name):
-            folder = f"{base_path or shared_root(spark)}/{name}"
+            folder = f"{base_path}/{name}" if base_path else table_root(spark, name)
             spark.sql(
                 f"CREATE TABLE {name} (value string, id bigint, attempt int, {PART} int) USING parquet PARTITIONED BY ({PART}) "
                 f"LOCATION '{folder}' TBLPROPERTIES ('key_parts' = '{parts}', 'key_ids' = '{ids}')"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reelsift.functions.dates import run_date as run_date_column
 from reelsift.operators.dedup import display_duplicates, drop_duplicates_by_ordered_partition, total_order
-from reelsift.session import durable, shared_root
+from reelsift.session import durable, table_root
 
 UPDATE_DATE = "last_updated_date"
 KEY_BUCKET = "key_bucket"
@@ -82,7 +82,7 @@ def publish(df: DataFrame, table: str, base_path: str | None = None, partition_b
 
     The folder in use is never overwritten, so ``df`` may read the table it replaces, and a failed
     write leaves the table as it was. A table that exists keeps its partitions and properties, unless
-    ``partition_by`` names other partitions. Where the layout changes, the new table is made under another
+    ``partition_by`` names other partitions. Without ``base_path`` the folder is in the database's. Where the layout changes, the new table is made under another
     name and takes the old one's place when it is complete. One writer at a time; old folders are for the
     caller to expire.
     """
@@ -148,7 +148,7 @@ def _publish_cobucketed(df: DataFrame, table: str, keys: list[str], buckets: int
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
     made = f"{table}__{uuid.uuid4().hex[:12]}" if exists else table
-    folder = f"{base_path or shared_root(spark)}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
+    folder = _new_folder(spark, table, base_path)
     # One task per bucket, so that a bucket is one file (in each partition).
     writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", folder)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(made)
@@ -191,9 +191,13 @@ def _properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if not r.key.startswith(own)}
 
 
+def _new_folder(spark: SparkSession, table: str, base_path: str | None) -> str:
+    root = f"{base_path}/{table.split('.')[-1]}" if base_path else table_root(spark, table)
+    return f"{root}/{uuid.uuid4().hex}"
+
+
 def _write_folder(df: DataFrame, table: str, base_path: str | None, partition_by: list[str] | None) -> str:
-    root = base_path or shared_root(df.sparkSession)
-    folder = f"{root}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
+    folder = _new_folder(df.sparkSession, table, base_path)
     writer = _gathered(df, partition_by).write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return folder
@@ -331,7 +335,7 @@ def publish_clustered(
     if key:
         options |= {f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.expected.ndv#{key}": str(distinct_keys)}
     spark = df.sparkSession
-    folder = f"{base_path or shared_root(spark)}/{table.split('.')[-1]}/{uuid.uuid4().hex}"
+    folder = _new_folder(spark, table, base_path)
     df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.options(**options).parquet(folder)
     if spark.catalog.tableExists(table) and _same_layout(spark, table, df, []):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")

@@ -87,3 +87,16 @@ def test_empty_partitioned_table(spark, database, tmp_path):
     assert writers.publish_bucketed(empty, f"{database}.e", "id", 4, str(tmp_path / "e")).count() == 0
     writers.merge_updates(f"{database}.e", spark.range(3).withColumn("x", F.lit("b")), "id", base_path=str(tmp_path / "e"))
     assert rows(spark.table(f"{database}.e"), "id", "x") == [(0, "b"), (1, "b"), (2, "b")]
+
+
+def test_data_without_a_place_goes_to_the_database(spark, database, tmp_path):
+    place = spark.catalog.getDatabase(database).locationUri.replace("file:", "")
+    layouts = {"plain": lambda df, t: writers.publish(df, t), "cut": lambda df, t: writers.publish_bucketed(df, t, "id", 2), "co": lambda df, t: writers.publish_cobucketed(df, t, "id", 2)}
+    for name, publish in layouts.items():
+        publish(spark.range(3), f"{database}.{name}")
+        again = publish(spark.range(4), f"{database}.{name}")
+        assert rows(again, "id") == [(0,), (1,), (2,), (3,)] and all(place in f for f in again.inputFiles())
+    # A managed table that takes on another layout loses nothing when the old one is dropped.
+    writers.save_to_db(spark.range(3), database, "managed", overwrite_schema=True)
+    assert writers.publish(spark.range(5).withColumn("x", F.lit(1)), f"{database}.managed").count() == 5
+    assert spark.table(f"{database}.managed").count() == 5
