@@ -105,12 +105,26 @@ def match_titles(
     suits short ones; otherwise only their ids do, and the texts are joined back to the proposed pairs.
     ``text_id`` identifies a row of ``texts``.
     """
-    if min_length < 1:
-        raise ValueError("an empty title would match every text")
     clash = set(titles.columns) & set(texts.columns)
     if clash:
         raise ValueError(f"rename the columns both sides have: {sorted(clash)}")
+    matched = matched_texts(titles, texts, title, text, text_id, min_length, inline_text, salts)
+    return matched.join(titles, F.col("__title") == F.col(title)).select(*titles.columns, *texts.columns)
 
+
+def matched_texts(
+    titles: DataFrame,
+    texts: DataFrame,
+    title: str,
+    text: str,
+    text_id: str,
+    min_length: int = 6,
+    inline_text: bool = False,
+    salts: int = 8,
+) -> DataFrame:
+    """:func:`match_titles` once for each different title, as ``__title``, however many rows have it, with the columns of ``texts``."""
+    if min_length < 1:
+        raise ValueError("an empty title would match every text")
     wanted = titles.where(F.length(title) >= min_length)
     # Written once: the titles are read for their keys, for the rarest of them and for the check.
     per_title = durable(title_keys(wanted.select(F.col(title).alias("__title")).distinct(), "__title"))
@@ -150,11 +164,7 @@ def match_titles(
     proposed = salted_texts.join(rarest, ["__key", "__salt"]).drop("__key", "__salt")
     if not inline_text:
         proposed = proposed.join(texts, text_id)
-    matched = proposed.where(exact_match(F.col(text), F.col("__title")))
-    return (
-        matched.join(wanted, F.col("__title") == F.col(title))
-        .select(*titles.columns, *texts.columns)
-    )
+    return proposed.where(exact_match(F.col(text), F.col("__title"))).select("__title", *texts.columns)
 
 
 def best_per_key(df: DataFrame, key: str, metric: str, ties: str = "all", tie_breakers: list | None = None) -> DataFrame:

@@ -229,16 +229,21 @@ def best_trailers(
     titles = shows.select("show_id", F.col("title").alias("streaming_title"), "votes", "cumulative_worldwide_gross_eur")
     if candidate is None:
         candidate = trailer_condition(F.col("title"), F.col("category_name"))
-    trailers = videos.where(candidate).select("video_id", F.col("title").alias("video_title"))
+    # A video's id and the hash of its title stand for the title, which may be long, until the best are known.
+    trailers = videos.where(candidate).select("video_id", F.col("title").alias("video_title"), F.xxhash64("title").alias("__text"))
+    pairs = match.matched_texts(titles, trailers, "streaming_title", "video_title", "video_id", inline_text=not long_texts)
     # Written once: the matches say which figures are needed, and are then joined with them.
-    matched = durable(match.match_titles(titles, trailers, "streaming_title", "video_title", "video_id", inline_text=not long_texts))
+    matched = durable(pairs.select("__title", "video_id", "__text"))
     measures = {c: c for c in ("view_count", "likes", "dislikes", "comment_count")}
     wanted = matched.select("video_id").distinct()
     peaks = stats.column_wise_max(trending.join(wanted, "video_id", "left_semi"), "video_id", measures)
-    rated = matched.join(peaks, "video_id", "left").select(
-        "show_id", "streaming_title", "video_id", "video_title", *measures, "votes", "cumulative_worldwide_gross_eur"
-    )
-    return match.best_per_key(durable(rated), "show_id", "view_count", ties, ["video_id"])
+    # Of each title first: the shows that share one have the same candidates.
+    leading = match.best_per_key(durable(matched.join(peaks, "video_id")), "__title", "view_count")
+    rated = durable(titles.join(leading, F.col("streaming_title") == F.col("__title")).drop("__title"))
+    best = durable(match.best_per_key(rated, "show_id", "view_count", ties, ["video_id"]))
+    found = trailers.join(best.select("video_id").distinct(), "video_id", "left_semi")
+    named = best.join(durable(found.dropDuplicates(["video_id", "__text"])), ["video_id", "__text"])
+    return named.select("show_id", "streaming_title", "video_id", "video_title", *measures, "votes", "cumulative_worldwide_gross_eur")
 
 
 def tag_condensing_report(

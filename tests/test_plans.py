@@ -219,6 +219,25 @@ def test_best_trailers(spark):
     assert rows(marts.best_trailers(shows, videos, facts, ties="one"), "video_id") == [("v1",)]
 
 
+def test_best_trailers_are_found_without_the_texts_of_all_matches(spark, monkeypatch):
+    shows = spark.range(40).select(F.concat(F.lit("s"), "id").alias("show_id"), F.lit("The Office").alias("title"), F.lit("1").alias("votes"), F.lit(1.0).alias("cumulative_worldwide_gross_eur"))
+    videos = spark.range(30).select(F.concat(F.lit("v"), "id").alias("video_id"), F.concat(F.lit("The Office trailer "), "id").alias("title"), F.lit("Film").alias("category_name"))
+    videos = videos.unionByName(videos.where("video_id = 'v29'").withColumn("title", F.lit("Another trailer")))
+    facts = spark.range(30).select(F.concat(F.lit("v"), "id").alias("video_id"), *[F.col("id").alias(c) for c in ("view_count", "likes", "dislikes", "comment_count")])
+    written = []
+
+    def count(df):
+        written.append((df.count(), df.columns))
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(marts, "durable", count)
+    for long_texts in (True, False):
+        out = marts.best_trailers(shows, videos, facts, long_texts=long_texts)
+        # All 30 videos match all 40 shows; the view counts leave one, which is all that gets its text.
+        assert set(rows(out, "video_id", "video_title", "view_count")) == {("v29", "The Office trailer 29", 29)} and out.count() >= 40
+    assert max(n for n, _ in written) <= 80 and max(n for n, columns in written if "video_title" in columns) <= 2
+
+
 def test_tag_report(spark):
     videos = spark.createDataFrame([("v1", ["Gaming", "x", "gamer"]), ("v2", ["x", ""]), ("v3", None), ("v4", ["rare"])], "video_id string, tags array<string>")
     report = marts.tag_condensing_report(videos, top=2)
