@@ -45,16 +45,9 @@ def iso8601_to_time(column: str | Column) -> Column:
     """
     value = as_column(column)
     pattern = r"^P(?:(\d+)D)?T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?"
-
-    def part(group: int) -> Column:
-        digits = F.regexp_replace(F.regexp_extract(value, pattern, group), "^0+", "")
-        return F.when(digits == "", "0").otherwise(digits)
-
-    def two_digits(group: int) -> Column:
-        digits = part(group)
-        return F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits)
-
-    text = F.concat(part(1), F.lit("."), two_digits(2), F.lit(":"), two_digits(3), F.lit(":"), two_digits(4))
+    # All parts at once, each behind enough zeros; then the zeros that are too many go.
+    parts = F.regexp_replace(value, pattern + "(?s:.*)", "0$1.00$2:00$3:00$4")
+    text = F.regexp_replace(parts, r"^0+(?=\d+\.)|(?<=[.:])0+(?=\d\d)", "")
     return F.when(value.rlike(pattern), text)
 
 

@@ -104,6 +104,13 @@ def test_iso_durations(spark, raw, expected):
     assert one(spark, dates.iso8601_to_time("c"), c=raw) == expected
 
 
+def test_durations_take_few_passes_over_the_text(spark):
+    text = plan(spark.createDataFrame([("P1DT2H",)], "c string").select(dates.iso8601_to_time("c").alias("t")))
+    assert text.count("regexp_") + text.count("RLIKE") <= 3
+    for raw, expected in [("P0012DT007H0S", "12.07:00:00"), ("PT100H5Mx\n.", "0.100:05:00"), ("PT", "0.00:00:00"), ("PDT1H", None), ("1.02:03:04", None)]:
+        assert one(spark, dates.iso8601_to_time("c"), c=raw) == expected
+
+
 def test_local_times(spark):
     summer, winter = datetime(2024, 7, 1, 12), datetime(2024, 1, 1, 12)
     df = spark.createDataFrame(
