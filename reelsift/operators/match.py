@@ -1,4 +1,4 @@
-"""Whole-word title matching by an index of word pairs, and the best match per title."""
+"""Whole-word title matching by an index of words that follow each other, and the best match per title."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ WORD = r"[\p{L}\p{N}_]"
 WORDS = rf"{WORD}+"
 # What separates two words, with both of them next to it.
 INNER_GAPS = rf"(?<={WORD})[^\p{{L}}\p{{N}}_]+(?={WORD})"
-KINDS = ("pair", "word", "gap")
+KINDS = ("triple", "pair", "word", "gap")
 
 
 def whole_word_pattern(title: Column) -> Column:
@@ -46,17 +46,27 @@ def _single_keys(parts: Column, kind: str) -> Column:
     return F.array_distinct(F.transform(parts, lambda part: F.xxhash64(F.lit(kind), part)))
 
 
-def _pair_keys(words: Column) -> Column:
+def _pairs(words: Column) -> Column:
     pairs = F.greatest(F.size(words) - 1, F.lit(0))
     neighbours = (F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs))
-    return F.array_distinct(F.zip_with(*neighbours, lambda a, b: F.xxhash64(F.lit("pair"), a, b)))
+    return F.zip_with(*neighbours, lambda a, b: F.xxhash64(F.lit("pair"), a, b))
+
+
+def _pair_keys(words: Column) -> Column:
+    return F.array_distinct(_pairs(words))
+
+
+def _triple_keys(words: Column) -> Column:
+    triples = F.greatest(F.size(words) - 2, F.lit(0))
+    neighbours = (F.slice(_pairs(words), F.lit(1), triples), F.slice(words, F.lit(3), triples))
+    return F.array_distinct(F.zip_with(*neighbours, lambda pair, c: F.xxhash64(F.lit("triple"), pair, c)))
 
 
 def title_keys(titles: DataFrame, title: str) -> DataFrame:
     """Add ``__kind`` and the hashed ``__keys`` of which every text that holds the title has all.
 
     A boundary at either end of a title means that its words are whole words of the text and follow
-    each other there. So the keys are its pairs of neighbouring words, or its only word. A title
+    each other there. So the keys are its triples of neighbouring words, or its only pair, or its only word. A title
     without a word is exactly what separates two words of the text.
     """
     words = F.col("__words")
@@ -64,8 +74,9 @@ def title_keys(titles: DataFrame, title: str) -> DataFrame:
         titles.withColumn("__words", words_of(F.col(title)))
         .withColumns(
             {
-                "__kind": F.when(F.size(words) > 1, "pair").when(F.size(words) == 1, "word").otherwise("gap"),
-                "__keys": F.when(F.size(words) > 1, _pair_keys(words))
+                "__kind": F.when(F.size(words) > 2, "triple").when(F.size(words) == 2, "pair").when(F.size(words) == 1, "word").otherwise("gap"),
+                "__keys": F.when(F.size(words) > 2, _triple_keys(words))
+                .when(F.size(words) == 2, _pair_keys(words))
                 .when(F.size(words) == 1, _single_keys(words, "word"))
                 .otherwise(_single_keys(F.array(F.lower(title)), "gap")),
             }
@@ -78,6 +89,7 @@ def text_keys(texts: DataFrame, text: str, carried: list[str], kinds: tuple[str,
     """(carried columns, ``__key``): the words, neighbouring words and gaps between words of each text."""
     split = texts.select(*carried, words_of(F.col(text)).alias("__words"), gaps_of(F.col(text)).alias("__gaps"))
     keys = {
+        "triple": _triple_keys(F.col("__words")),
         "pair": _pair_keys(F.col("__words")),
         "word": _single_keys(F.col("__words"), "word"),
         "gap": _single_keys(F.col("__gaps"), "gap"),
@@ -159,12 +171,15 @@ def matched_texts(
     if sum(counts.values()) <= BROADCAST_ROWS:  # one key per title, of all their keys
         rare_keys = F.broadcast(rare_keys)
     keyed_texts = keyed_texts.join(rare_keys, "__key", "left_semi")
-    rarest = rarest.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Lowered once a title and once a text, not once for each pair proposed.
+    rarest = rarest.withColumn("__lower_title", F.lower("__title")).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted_texts = keyed_texts.withColumn("__salt", F.pmod(F.xxhash64(text_id), F.lit(salts)).cast("int"))
     proposed = salted_texts.join(rarest, ["__key", "__salt"]).drop("__key", "__salt")
-    if not inline_text:
-        proposed = proposed.join(texts, text_id)
-    return proposed.where(exact_match(F.col(text), F.col("__title"))).select("__title", *texts.columns)
+    lowered = F.lower(text).alias("__lower_text")
+    proposed = proposed.select("*", lowered) if inline_text else proposed.join(texts.select("*", lowered), text_id)
+    # Most pairs that are none fall out by plain search, without a regex.
+    held = F.contains("__lower_text", "__lower_title") & F.rlike("__lower_text", whole_word_pattern(F.col("__lower_title")))
+    return proposed.where(held).select("__title", *texts.columns)
 
 
 def best_per_key(df: DataFrame, key: str, metric: str, ties: str = "all", tie_breakers: list | None = None) -> DataFrame:

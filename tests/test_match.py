@@ -82,6 +82,22 @@ def test_a_hot_key_is_spread(spark):
     assert match.match_titles(left, right, "title", "text", "id").count() == 500
 
 
+def test_texts_with_the_pairs_of_a_title_alone_are_not_proposed(spark, monkeypatch):
+    written, write = [], match.durable
+
+    def count(df):
+        written.append((df.columns, df.count()))
+        return write(df)
+
+    monkeypatch.setattr(match, "durable", count)
+    left = spark.createDataFrame([("the office trailer",), ("two words",), ("single",)], "title string")
+    right = spark.range(50).select("id", F.lit("The office, an office trailer").alias("text"))
+    right = right.unionByName(spark.createDataFrame([(50, "see THE office Trailer"), (51, "two  words, two words"), (52, "a Single one")], "id long, text string"))
+    out = match.match_titles(left, right, "title", "text", "id")
+    assert rows(out, "title", "id") == [("single", 52), ("the office trailer", 50), ("two words", 51)]
+    assert [n for columns, n in written if columns == ["__key", "id"]] == [3]
+
+
 def test_best_per_key(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, 5), ("a", 3, 4), ("b", 4, None)], "k string, id int, m int")
     assert rows(match.best_per_key(df, "k", "m"), "k", "id") == [("a", 1), ("a", 2)]
