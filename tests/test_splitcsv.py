@@ -7,6 +7,8 @@ import pytest
 
 from conftest import rows
 from reelsift.sources import readers, splitcsv, writers
+from workload import REGISTRY
+from workload.registry import Tables
 
 SCHEMA = "id string, text string, n int"
 
@@ -70,3 +72,13 @@ def test_country_files_split(spark, tmp_path):
     whole = readers.read_country_files(spark, str(tmp_path), "video_id string, title string, view_count int")
     told = ("video_id", "view_count", "country_dataset")
     assert split.columns == whole.columns and rows(split, *told) == rows(whole, *told)
+
+
+def test_the_query_writes_its_input_in_as_many_tasks_as_it_reads_it(spark, tmp_path, monkeypatch):
+    data = spark.range(400).selectExpr("id AS doc_id", "concat('a \"quoted\"\n', id) AS text")
+    data.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    tasks, write_csv = [], writers.write_csv
+    monkeypatch.setattr(writers, "write_csv", lambda df, path: (tasks.append(df.rdd.getNumPartitions()), write_csv(df, path)))
+    out = REGISTRY["s1_split_csv"].run(Tables(spark, str(tmp_path)))
+    expected = data.selectExpr("string(doc_id)", "md5(text)", "string(doc_id)")
+    assert rows(out, "video_id", "title", "channel_id") == rows(expected) and tasks[0] >= 4

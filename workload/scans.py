@@ -31,8 +31,8 @@ def _(t):
 def _(t):
     path = t.scratch()
     rows = t.documents.select(F.col("doc_id").cast("string").alias("video_id"), F.col("text").alias("title"), F.col("doc_id").alias("channelId"))
-    # One file, read in blocks of 256 KB.
-    writers.write_csv(rows.coalesce(1), path)
+    # A file per task of the scan, read in blocks of 256 KB.
+    writers.write_csv(rows, path)
     read = readers.read_media_csv(t.spark, path, "video_id string, title string, channelId string", split=True, block_bytes=256 << 10)
     return read.withColumn("title", F.md5("title"))
 
