@@ -79,6 +79,13 @@ def test_updates_of_a_merge_are_found_once(spark):
     assert "Window" not in text
 
 
+def test_bridges_are_not_broadcast(spark, tmp_path):
+    data = spark.range(300).selectExpr("id AS p_partkey", "concat('red blue ', id % 7) AS p_name", "concat('Brand', id % 5) AS p_brand", "concat('T', id % 3) AS p_type", "int(id % 50) AS p_size", "double(id) AS p_retailprice")
+    data.write.parquet(str(tmp_path / "part.parquet"))
+    out = REGISTRY["d2_catalogue_bridges"].run(Tables(spark, str(tmp_path)))
+    assert "Broadcast" not in plan(out) and out.where("entity = 'directors'").count() > 0
+
+
 def test_totals_are_joined_not_windowed(spark):
     counts = spark.range(9).select(F.lit("US").alias("c"), F.col("id").alias("k"), F.lit(1).cast("bigint").alias("n"))
     assert "Window" not in plan(stats.share_per_scope(counts, "c", "k", "n", "s"))

@@ -285,7 +285,8 @@ def _(t):
     tables = stars.catalogue_entities(catalogue(t))
     bridges = []
     for entity, (_, name, id_name) in stars.CATALOGUE_ENTITIES.items():
-        named = tables[f"shows_and_movies_{entity}"].join(tables[entity], id_name)
+        # The files are small for the pairs in them: by their size alone the pairs would be sent to every task.
+        named = tables[f"shows_and_movies_{entity}"].hint("merge").join(tables[entity], id_name)
         bridges.append(named.select(F.lit(entity).alias("entity"), "show_id", F.col(name).alias("name")))
     return one_table(bridges)
 
