@@ -40,6 +40,8 @@ PAIRED = 128
 BLOCK = 256
 #: A shingle is put last if this many sets of one task's documents have it, and at most so many shingles are.
 FREQUENT, MOST_FREQUENT = 4, 200_000
+#: Shingles of sets that a task holds before it adds them to its counts.
+HELD_SHINGLES = 500_000
 #: Documents whose ids are sent to all tasks at most; the texts of more are shuffled.
 SENT_IDS = 500_000
 #: Sets with copies or links that are sent to all tasks at most.
@@ -86,18 +88,36 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def counted(tokens: np.ndarray, counts: np.ndarray, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted ``tokens`` and their ``counts`` with those of ``held`` added, which is emptied.
+
+    Only what is new is sorted, and the counted ones are copied once, so a task needs little more than the counts it keeps.
+    """
+    if not held:
+        return tokens, counts
+    new = np.concatenate(held)
+    held.clear()
+    new.sort()
+    first = np.flatnonzero(np.concatenate(([True], new[1:] != new[:-1]))) if len(new) else np.zeros(0, np.int64)
+    times = np.diff(first, append=len(new)).astype(np.int32)
+    new = new[first]
+    del first
+    at = np.searchsorted(tokens, new)
+    known = np.zeros(len(new), bool)
+    inside = at < len(tokens)
+    known[inside] = tokens[at[inside]] == new[inside]
+    counts[at[known]] += times[known]
+    at, new, times = at[~known], new[~known], times[~known]
+    return np.insert(tokens, at, new), np.insert(counts, at, times)
+
+
 def _sets_and_frequent(docs: DataFrame, seed: int) -> DataFrame:
     """Rows of two kinds: 0: ``doc_id``, set, its size, its MinHash values (once in a task), its second hash; 1: a shingle that is frequent in a task, how often."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held, held_n = [], 0
-        tokens_met, counts_met = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            tokens, at = np.unique(np.concatenate([tokens_met, *held]), return_inverse=True)
-            return tokens, np.bincount(at, weights=np.concatenate([counts_met, np.ones(held_n, np.int64)]), minlength=len(tokens)).astype(np.int64)
-
+        tokens_met, counts_met = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         for part in slices(batches, "text"):
             tokens, offsets = shingle_sets(*text_buffers(part.column("text")), WORDS)
             sets, n = set_hashes(tokens, offsets, seed), np.diff(offsets)
@@ -113,16 +133,16 @@ def _sets_and_frequent(docs: DataFrame, seed: int) -> DataFrame:
                 [pa.array(np.zeros(len(n), np.int8)), part.column("doc_id"), _signed(sets), pa.array(n), pa.array(values, pa.binary()), _signed(second)],
                 ["kind", "a", "b", "n", "values", "second"],
             )
-            if held_n > 2_000_000:
-                tokens_met, counts_met = merged()
-                held, held_n = [], 0
+            if held_n > HELD_SHINGLES:
+                tokens_met, counts_met = counted(tokens_met, counts_met, held)
+                held_n = 0
                 if len(tokens_met) > 4_000_000:  # what has been met once within so many is not frequent here
                     tokens_met, counts_met = tokens_met[counts_met > 1], counts_met[counts_met > 1]
-        tokens_met, counts_met = merged()
+        tokens_met, counts_met = counted(tokens_met, counts_met, held)
         often = counts_met >= FREQUENT
         m = int(often.sum())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(m, np.int8)), _signed(tokens_met[often]), pa.array(counts_met[often]), pa.array(np.zeros(m, np.int64)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())],
+            [pa.array(np.ones(m, np.int8)), _signed(tokens_met[often]), pa.array(counts_met[often].astype(np.int64)), pa.array(np.zeros(m, np.int64)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64())],
             ["kind", "a", "b", "n", "values", "second"],
         )
 

@@ -156,3 +156,21 @@ def test_columns_called_like_the_operators_own(make_docs, prose):
     kept = near_duplicates.one_of_each_class(named)
     assert kept.columns == named.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3]
     assert {(r["_keep"], r["_nth"]) for r in kept.collect()} == {("en", "a")}
+
+
+def test_counts_of_shingles_need_little_memory():
+    import tracemalloc
+
+    draw = np.random.default_rng(5)
+    parts = [draw.integers(0, 1 << 21, 100_000).astype(np.uint64) for _ in range(24)]
+    tokens, counts = np.unique(np.concatenate(parts), return_counts=True)
+    found, times = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    tracemalloc.start()
+    for k in range(0, 24, 4):
+        found, times = near_duplicates.counted(found, times, [p.copy() for p in parts[k : k + 4]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found == tokens).all() and (times == counts).all()
+    assert peak < 60 << 20  # all at once: some 120 MB
+    same = near_duplicates.counted(found, times, [])
+    assert same[0] is found and len(near_duplicates.counted(found[:0], times[:0], [found[:0]])[0]) == 0
