@@ -18,6 +18,8 @@ from reelsift.session import durable, table_root
 
 UPDATE_DATE = "last_updated_date"
 KEY_BUCKET = "key_bucket"
+#: Rows that a bucket of a co-bucketed table may have on average where its maker asks for a bound: a join sorts them in one task.
+BUCKET_ROWS = 1_000_000
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -133,15 +135,29 @@ def cobuckets(spark: SparkSession, table: str) -> Cobuckets | None:
 
 
 def publish_cobucketed(
-    df: DataFrame, table: str, keys: str | list[str], buckets: int, base_path: str | None = None, partition_by: list[str] | None = None
-) -> DataFrame:
+    df: DataFrame, table: str, keys: str | list[str], buckets: int | str, base_path: str | None = None, partition_by: list[str] | None = None,
+    rows_per_bucket: int | None = None,
+) -> DataFrame:
     """Publish a table in ``buckets`` by ``keys``, each sorted by them, so tables with the same buckets join without a shuffle.
 
+    ``buckets`` is their number, or the name of a table to join with, which has its buckets already. With ``rows_per_bucket`` the rows
+    are counted and the number is doubled until a bucket has no more of them on average, so that what a task sorts does not grow with the table.
+
     Merges and :func:`publish` keep the layout; :func:`add_slice` adds partitions to it. A join reads a bucket in one task, which
     nothing splits: where :func:`largest_bucket` says that one key has a large share of the rows, leave the table
     unbucketed, and adaptive execution splits that key.
     """
-    return _publish_cobucketed(df, table, [keys] if isinstance(keys, str) else keys, buckets, base_path, partition_by)
+    keys = [keys] if isinstance(keys, str) else keys
+    if isinstance(buckets, str):
+        layout = cobuckets(df.sparkSession, buckets)
+        if layout is None:
+            raise ValueError(f"{buckets} has no buckets")
+        buckets = layout.buckets
+    elif rows_per_bucket:
+        rows = df.count()
+        while rows > buckets * rows_per_bucket:
+            buckets *= 2
+    return _publish_cobucketed(df, table, keys, buckets, base_path, partition_by)
 
 
 def _publish_cobucketed(df: DataFrame, table: str, keys: list[str], buckets: int, base_path: str | None, partition_by: list[str] | None) -> DataFrame:

@@ -100,3 +100,18 @@ def test_data_without_a_place_goes_to_the_database(spark, database, tmp_path):
     writers.save_to_db(spark.range(3), database, "managed", overwrite_schema=True)
     assert writers.publish(spark.range(5).withColumn("x", F.lit(1)), f"{database}.managed").count() == 5
     assert spark.table(f"{database}.managed").count() == 5
+
+
+def test_buckets_grow_with_the_rows(spark, database, tmp_path, no_broadcast):
+    base = str(tmp_path / "base")
+    trending = writers.publish_cobucketed(facts(spark), f"{database}.facts", "video_id", 2, base, rows_per_bucket=50)
+    assert writers.cobuckets(spark, f"{database}.facts").buckets == 8
+    details = writers.publish_cobucketed(videos(spark), f"{database}.videos", "video_id", f"{database}.facts", base)
+    found = trending.join(details, "video_id", "left")
+    assert "SortMergeJoin" in plan(found) and "Exchange" not in plan(found)
+    assert rows(found, "video_id", "view_count", "title") == rows(facts(spark).join(videos(spark), "video_id", "left"), "video_id", "view_count", "title")
+    writers.publish_cobucketed(facts(spark), f"{database}.few", "video_id", 2, base, rows_per_bucket=200)
+    assert writers.cobuckets(spark, f"{database}.few").buckets == 2
+    with pytest.raises(ValueError):
+        spark.range(3).write.saveAsTable(f"{database}.plain")
+        writers.publish_cobucketed(videos(spark), f"{database}.more", "video_id", f"{database}.plain", base)

@@ -78,10 +78,10 @@ def _(t):
     database, base = t.database(), t.scratch()
     rows = trending(t, "l_orderkey").withColumn("year", F.year("trending_date"))
     # The facts arrive by years, the last year wrong at first; both tables are merged into and keep their buckets.
-    writers.publish_cobucketed(rows.where("year < 1998").unionByName(rows.where("year > 1997").limit(100)), f"{database}.trending", "video_id", 8, base, ["year"])
+    writers.publish_cobucketed(rows.where("year < 1998").unionByName(rows.where("year > 1997").limit(100)), f"{database}.trending", "video_id", 8, base, ["year"], writers.BUCKET_ROWS)
     facts = writers.add_slice(rows.where("year > 1997"), f"{database}.trending")
     details = marts.video_details(order_videos(t), channels)
-    writers.publish_cobucketed(details.withColumn("title", F.lit("old")).where("video_id % 2 = 0"), f"{database}.videos", "video_id", 8, base)
+    writers.publish_cobucketed(details.withColumn("title", F.lit("old")).where("video_id % 2 = 0"), f"{database}.videos", "video_id", f"{database}.trending", base)
     return marts.trending_with_details(facts, writers.merge_updates(f"{database}.videos", details, "video_id", base_path=base))
 
 
