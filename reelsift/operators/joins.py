@@ -1,7 +1,8 @@
 """Lookup, override and replacement joins.
 
 Lookup sides carry no broadcast hint: the planner broadcasts a side whose size it knows to be below
-its threshold, and shuffles otherwise, where adaptive execution splits hot keys.
+its threshold, and shuffles otherwise, where adaptive execution splits hot keys. It does not know the size of a
+partitioned table of the catalogue; such a dimension is counted (``counted``) and then sent if it is small.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Rows of one 8-byte key that may be broadcast once they are counted: some 100 MB as a hash table.
 BROADCAST_ROWS = 2_000_000
+#: Rows of a dimension, with its columns, that may be broadcast once they are counted.
+DIMENSION_ROWS = 200_000
 
 
 def map_column(df: DataFrame, mapping: DataFrame, mapped_column: str, join_column: str) -> DataFrame:
@@ -42,6 +45,13 @@ def replace_rows(df: DataFrame, changed: DataFrame, key: str) -> DataFrame:
     return df.join(changed.select(key), key, "left_anti").unionByName(changed)
 
 
-def dimension_lookup(df: DataFrame, dimension: DataFrame, key: str, columns: list[str], how: str = "left") -> DataFrame:
-    """Add the named columns of a dimension by its key."""
-    return df.join(dimension.select(key, *columns), key, how)
+def dimension_lookup(df: DataFrame, dimension: DataFrame, key: str, columns: list[str], how: str = "left", counted: bool = False) -> DataFrame:
+    """Add the named columns of a dimension by its key.
+
+    With ``counted`` the dimension's rows are counted, and broadcast if they are at most ``DIMENSION_ROWS``: then the rows of a key that
+    many have are not gathered and sorted in one task. It is for written tables, of which a count reads no column.
+    """
+    dimension = dimension.select(key, *columns)
+    if counted and dimension.count() <= DIMENSION_ROWS:
+        dimension = F.broadcast(dimension)
+    return df.join(dimension, key, how)

@@ -259,3 +259,19 @@ def test_id_lookup(spark):
     titles = frame(spark, "show_id string, title string", ("s1", "Clash "), ("s2", "None"), ("s3", None))
     hits = frame(spark, "title string, position int, imdb_id string", ("clash", 2, "b"), ("CLASH", 1, "a"))
     assert rows(enrich.lookup_ids(titles, hits), "show_id", "imdb_id") == [("s1", "a"), ("s2", None), ("s3", None)]
+
+
+def test_counted_dimensions_are_broadcast(spark, monkeypatch):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")  # as for a table whose size the planner does not know
+    try:
+        facts = spark.range(100).selectExpr("id", "if(id % 2 = 0, 7, id % 5) AS k")
+        dimension = spark.createDataFrame([(7, "hot"), (1, "a"), (1, "b"), (None, "none")], "k long, name string")
+        plain, counted = (joins.dimension_lookup(facts, dimension, "k", ["name"], counted=c) for c in (False, True))
+        assert "BroadcastHashJoin" not in plan(plain) and "BroadcastHashJoin" in plan(counted) and "Exchange hashpartitioning" not in plan(counted)
+        assert rows(plain) == rows(counted)
+        monkeypatch.setattr(joins, "DIMENSION_ROWS", 3)
+        assert "BroadcastHashJoin" not in plan(joins.dimension_lookup(facts, dimension, "k", ["name"], counted=True))
+    finally:
+        spark.conf.set(setting, before)

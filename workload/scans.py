@@ -259,7 +259,7 @@ def _(t):
         labels = named.select("label_id", "label").distinct()
         writers.merge_model(t.spark, database, {"shows": (shows, "show_id"), "labels": (labels, "label_id")}, {"shows_labels": (named.select("show_id", "label_id"), "show_id")}, base_path=base)
     tables = {name: readers.read_table(t.spark, database, name) for name in ("shows", "labels", "shows_labels")}
-    bridge = joins.dimension_lookup(tables["shows_labels"], tables["labels"], "label_id", ["label"], "inner")
+    bridge = joins.dimension_lookup(tables["shows_labels"], tables["labels"], "label_id", ["label"], "inner", counted=True)
     return joins.dimension_lookup(bridge, tables["shows"], "show_id", ["o_orderstatus"], "inner").select("show_id", "label")
 
 
