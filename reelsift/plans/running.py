@@ -21,6 +21,8 @@ from reelsift.sources import writers
 
 KEYS = ["period", "month", "video_id", "country_dataset"]
 _MEASURES = ("views", "likes", "rate")
+_DATE_UNITS = ("year", "quarter", "month", "week")
+_READ = ["video_id", "trending_date", "country_dataset", "view_count", "likes"]
 
 
 def _first() -> Column:
@@ -30,6 +32,11 @@ def _first() -> Column:
     return F.struct(*place, likes.isNull().alias("no_likes"), (-likes).alias("less_likes"))
 
 
+def _least_first(keys: list[str]) -> Column:
+    """The smallest ``first``, without the country where the group has but one."""
+    return F.min(F.col("first").dropFields("country") if "country_dataset" in keys else F.col("first")).alias("first")
+
+
 class TrendingState:
     """The table ``database.table`` of merged sums, and the marts out of it."""
 
@@ -41,39 +48,51 @@ class TrendingState:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def summed(self, trending: DataFrame) -> DataFrame:
-        """The rows of the table that ``trending`` amounts to."""
-        counted = F.col("view_count") > self.min_views
+    def _dated(self, trending: DataFrame) -> DataFrame:
+        """What is read of ``trending``, with its period and month."""
+        day = F.col("trending_date").cast("timestamp").cast("date")
+        # Of dates, where the unit is one of dates: that is cheaper than of times.
+        period = F.trunc(day, self.period) if self.period.lower() in _DATE_UNITS else F.date_trunc(self.period, F.col("trending_date")).cast("date")
+        return trending.select(*_READ).withColumns({"period": period, "month": F.trunc(day, "month")})
+
+    def _each(self, dated: DataFrame) -> DataFrame:
+        """The row of the table that each row amounts to."""
+        counted = F.coalesce(F.col("view_count") > self.min_views, F.lit(False))
         measures = {"views": F.col("view_count").cast("double"), "likes": F.col("likes").cast("double"), "rate": ratio("likes", "view_count")}
-        at = lambda unit: F.date_trunc(unit, F.col("trending_date")).cast("date")
-        return (
-            trending.select("video_id", "trending_date", "country_dataset", "view_count", "likes")
-            .withColumns({"period": at(self.period), "month": at("month")})
-            .groupBy(*KEYS)
-            .agg(
-                F.count("*").alias("rows"), F.count_if(counted).alias("n"),
-                *[F.sum(F.when(counted, m)).alias(f"{name}_sum") for name, m in measures.items()],
-                *[F.count(F.when(counted, m)).alias(f"{name}_n") for name, m in measures.items()],
-                F.min(_first()).alias("first"),
-            )
+        return dated.select(
+            *KEYS, F.lit(1).cast("bigint").alias("rows"), counted.cast("bigint").alias("n"),
+            *[F.when(counted, m).alias(f"{name}_sum") for name, m in measures.items()],
+            *[(counted & m.isNotNull()).cast("bigint").alias(f"{name}_n") for name, m in measures.items()],
+            _first().alias("first"),
         )
 
+    def summed(self, trending: DataFrame) -> DataFrame:
+        """The rows of the table that ``trending`` amounts to."""
+        return self._merged(self._each(self._dated(trending)), KEYS)
+
     def absorb(self, trending: DataFrame, whole_periods: bool = True) -> None:
         """Take in a slice: periods that it holds as a whole, or more rows of them (``whole_periods=False``; not to be repeated)."""
-        new = self.summed(trending)
-        if not whole_periods and self.spark.catalog.tableExists(self.name):
-            new = durable(new)
+        if whole_periods or not self.spark.catalog.tableExists(self.name):
+            new = self.summed(trending)
+        else:
+            # Written before they are summed: the periods come from the same rows, and these are summed once, together with the table's.
+            dated = durable(self._dated(trending))
             # One row per period of the slice.
-            touched = [r.period for r in new.select("period").distinct().collect()]
-            both = self.rows().where(F.col("period").isin(touched)).unionByName(new)
-            new = durable(self._merged(both, KEYS))  # it is written where it was read
+            touched = [r.period for r in dated.select("period").distinct().collect()]
+            # Partitions are read while their successors are written: a dynamic overwrite replaces them when all tasks have ended.
+            new = self._merged(self.rows().where(F.col("period").isin(touched)).unionByName(self._each(dated)), KEYS)
         writers.save_to_db2(new, self.database, self.table, ["period"])
         self.spark.catalog.refreshTable(self.name)
 
     @staticmethod
     def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
         sums = ["rows", "n", *[f"{m}_{kind}" for kind in ("sum", "n") for m in _MEASURES]]
-        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], F.min("first").alias("first"))
+        # The video goes first: the smallest struct takes a sort by the keys, which then mostly compares one number.
+        merged = rows.groupBy(*sorted(keys, key=lambda k: k != "video_id")).agg(*[F.sum(c).alias(c) for c in sums], _least_first(keys))
+        if "country_dataset" in keys:
+            first = [F.col("country_dataset").alias("country") if f == "country" else F.col(f"first.{f}") for f in rows.schema["first"].dataType.names]
+            merged = merged.withColumn("first", F.struct(*first))
+        return merged.select(*keys, *sums, "first")
 
     def tag_statistics(self, bridge: DataFrame, tags: DataFrame, min_videos: int = 100, exclude: str = lookups.OTHER_TAG) -> DataFrame:
         """:func:`marts.tag_statistics` of all periods."""

@@ -96,3 +96,30 @@ def test_marts_read_the_state_and_not_the_facts(spark, database, dimensions, tmp
         assert path not in text and "state" in text
     # Rows are summed before they are shuffled.
     assert "partial_sum" in plan(state.summed(spark.read.parquet(path))).split("Exchange")[-1]
+
+
+def test_more_rows_are_summed_once_with_the_tables(spark, database, monkeypatch):
+    written, durable = [], running.durable
+    monkeypatch.setattr(running, "durable", lambda df: written.append(df) or durable(df))
+    all_rows = facts(spark)
+    whole = running.TrendingState(spark, database, "whole", period="month", min_views=40)
+    whole.absorb(all_rows)
+    parts = running.TrendingState(spark, database, "parts", period="month", min_views=40)
+    parts.absorb(all_rows.where("likes > 1"))
+    parts.absorb(all_rows.where("likes IS NULL OR likes <= 1"), whole_periods=False)
+    # The new rows are written as they came, and nothing else is.
+    assert len(written) == 1 and "Aggregate" not in plan(written[0])
+    assert rounded(parts.rows()) == rounded(whole.rows()) and parts.rows().schema == whole.rows().schema
+
+
+def test_rows_are_sorted_by_their_video_first(spark, database):
+    text = plan(running.TrendingState(spark, database, "state", period="quarter").summed(facts(spark)))
+    assert text.count("Sort [video_id") == 2
+    assert "first" in text and "country," not in text.split("partial_min(")[1].split("]")[0]
+
+
+def test_periods_are_those_of_the_time(spark, database):
+    for unit in ("year", "quarter", "month", "week", "Week", "day", "hour"):
+        state = running.TrendingState(spark, database, "state", period=unit)
+        same = F.col("period").eqNullSafe(F.date_trunc(unit, "trending_date").cast("date")) & F.col("month").eqNullSafe(F.date_trunc("month", "trending_date").cast("date"))
+        assert state._dated(facts(spark).unionByName(facts(spark).limit(1).withColumn("trending_date", F.lit(None).cast("timestamp")))).where(~same).isEmpty()
