@@ -44,8 +44,10 @@ LAYOUT = {
     "parquet.enable.dictionary#local_start": "false",
 }
 #: Distinct pieces of text whose ids a Python worker keeps, and the bytes that they may take; longer pieces are not kept.
-MEMO_ENTRIES, MEMO_BYTES, MEMO_PIECE = 1_500_000, 72 << 20, 64
+MEMO_ENTRIES, MEMO_BYTES, MEMO_PIECE = 1_500_000, 64 << 20, 64
 _SLICE = 1 << 20
+#: Pieces that are given to the tokenizer at once: what it returns for a piece takes far more room than the piece.
+_BLOCK = 4096
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -64,6 +66,11 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins[:-1])
 
 
+def _spans(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ``n`` places from each of ``at`` on, one span after another."""
+    return np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 class PieceEncoder:
     """Encodes texts piece by piece; the ids of a piece are looked up once per slice, and kept for the next ones.
 
@@ -79,34 +86,43 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.entries, self.bytes = entries, size
+        self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab().values()) < 1 << 16 else "<i4")
         self._forget()
 
     def _forget(self) -> None:
-        # Hashes in order and the number of the piece that each is of; the pieces' bytes and ids, one after another.
+        # Hashes in order and the number of the piece that each is of; the pieces' bytes and ids, one after another. These
+        # have room for all that is ever kept, so they are filled in place; room that is not filled takes no memory.
         self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.text, self.text_at = np.zeros(0, np.uint8), np.zeros(1, np.int32)
-        self.ids, self.ids_at = np.zeros(0, "<i4"), np.zeros(1, np.int32)
+        self.text, self.text_at = np.empty(self.bytes, np.uint8), np.empty(self.entries + 1, np.int32)
+        self.ids, self.ids_at = np.empty(self.bytes // self.kind.itemsize, self.kind), np.empty(self.entries + 1, np.int32)
+        self.text_at[0] = self.ids_at[0] = 0
 
     def _size(self) -> int:
-        return sum(x.nbytes for x in (self.keys, self.number, self.text, self.text_at, self.ids, self.ids_at))
+        n = len(self.keys)
+        places = sum(x.itemsize for x in (self.keys, self.number, self.text_at, self.ids_at))
+        return n * places + int(self.text_at[n]) + int(self.ids_at[n]) * self.kind.itemsize
 
     def _learn(self, keys: np.ndarray, texts: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
         """Keep pieces whose hashes are new; ``ids`` has theirs, one piece after another."""
-        keep = np.array([len(t) <= MEMO_PIECE for t in texts], bool)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        keep = lengths <= MEMO_PIECE
         flat = ids[np.repeat(keep, sizes)]
-        texts, keys, sizes = [t for t, k in zip(texts, keep.tolist(), strict=True) if k], keys[keep], sizes[keep]
-        if len(self.keys) + len(keys) > self.entries or self._size() > self.bytes:
+        texts, keys, sizes, lengths = [t for t, k in zip(texts, keep.tolist(), strict=True) if k], keys[keep], sizes[keep], lengths[keep]
+        places = sum(x.itemsize for x in (self.keys, self.number, self.text_at, self.ids_at))
+        taken = np.cumsum(lengths + sizes * self.kind.itemsize + places)
+        if len(keys) and (len(self.keys) + len(keys) > self.entries or self._size() + int(taken[-1]) > self.bytes):
             self._forget()
-            keys, texts, sizes = keys[: self.entries], texts[: self.entries], sizes[: self.entries]
+            fit = min(self.entries, int(np.searchsorted(taken, self.bytes, side="right")))
+            keys, texts, sizes, lengths = keys[:fit], texts[:fit], sizes[:fit], lengths[:fit]
             flat = flat[: int(sizes.sum())]
-        order = np.argsort(keys)
-        numbers = len(self.number) + np.arange(len(keys), dtype=np.int32)
+        order, n, m = np.argsort(keys), len(self.keys), len(keys)
+        numbers = n + np.arange(m, dtype=np.int32)
         at = np.searchsorted(self.keys, keys[order])
         self.keys, self.number = np.insert(self.keys, at, keys[order]), np.insert(self.number, at, numbers[order])
-        lengths = np.array([len(t) for t in texts], np.int32)
-        self.text_at = np.concatenate((self.text_at, self.text_at[-1] + np.cumsum(lengths, dtype=np.int32)))
-        self.ids_at = np.concatenate((self.ids_at, self.ids_at[-1] + np.cumsum(sizes, dtype=np.int32)))
-        self.text, self.ids = np.concatenate((self.text, np.frombuffer(b"".join(texts), np.uint8))), np.concatenate((self.ids, flat))
+        self.text_at[n + 1 : n + m + 1] = self.text_at[n] + np.cumsum(lengths)
+        self.ids_at[n + 1 : n + m + 1] = self.ids_at[n] + np.cumsum(sizes)
+        self.text[self.text_at[n] : self.text_at[n + m]] = np.frombuffer(b"".join(texts), np.uint8)
+        self.ids[self.ids_at[n] : self.ids_at[n + m]] = flat
 
     def _known(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether each hash is kept, whether it is this piece's, and the number of the piece that has it."""
@@ -115,8 +131,8 @@ class PieceEncoder:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         met = self.keys[at] == keys
         number = self.number[at].astype(np.int64)
-        own = met & (np.diff(self.text_at)[number] == length)
         there = self.text_at[number]
+        own = met & (self.text_at[number + 1] - there == length)
         left = np.flatnonzero(own)
         for k in range(MEMO_PIECE):  # byte by byte; pieces are short
             left = left[length[left] > k]
@@ -126,9 +142,12 @@ class PieceEncoder:
         return met, own, number
 
     def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        done = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        sizes = np.array([len(x) for x in done], np.int64)
-        return sizes, np.fromiter(chain.from_iterable(done), "<i4", int(sizes.sum()))
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, "<i4")]
+        for k in range(0, len(pieces), _BLOCK):
+            done = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces[k : k + _BLOCK]], add_special_tokens=False)]
+            sizes.append(np.array([len(x) for x in done], np.int64))
+            ids.append(np.fromiter(chain.from_iterable(done), "<i4", int(sizes[-1].sum())))
+        return np.concatenate(sizes), np.concatenate(ids)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, each row's followed by ``end_id``, and how many each row has."""
@@ -145,17 +164,19 @@ class PieceEncoder:
         met, known, number = np.concatenate((met, lone)), np.concatenate((known, ~lone)), np.concatenate((number, np.zeros(len(other), np.int64)))
         whole, new = data.tobytes(), np.flatnonzero(~known)
         texts = [whole[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)]
-        sizes, fresh_ids = self._encoded(texts) if len(new) else (np.zeros(0, np.int64), np.zeros(0, "<i4"))
-        flat = np.concatenate((self.ids, fresh_ids))
+        sizes, fresh_ids = self._encoded(texts)
+        kept_at = self.ids_at[number[known]].astype(np.int64)
+        kept = self.ids_at[number[known] + 1] - kept_at
+        flat = np.concatenate((self.ids[_spans(kept_at, kept)].astype("<i4"), fresh_ids))
         place, size = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
-        place[known], size[known] = self.ids_at[number[known]], np.diff(self.ids_at)[number[known]]
-        place[new], size[new] = len(self.ids) + np.cumsum(sizes) - sizes, sizes
+        place[known], size[known] = np.cumsum(kept) - kept, kept
+        place[new], size[new] = len(flat) - len(fresh_ids) + np.cumsum(sizes) - sizes, sizes
         learnt = np.flatnonzero(~met[new])
         if len(learnt):
             mask = ~met[new]
             self._learn(keys[new[learnt]], [texts[k] for k in learnt.tolist()], sizes[learnt], fresh_ids[np.repeat(mask, sizes)])
         at, n = place[piece], size[piece]
-        ids = flat[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        ids = flat[_spans(at, n)]
         ends = np.append(0, np.cumsum(n))[np.searchsorted(start, offsets[1:])]
         return np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
 

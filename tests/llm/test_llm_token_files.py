@@ -86,6 +86,31 @@ def test_memory_is_bounded(monkeypatch):
         assert len(encoder.keys) <= 50
 
 
+def test_kept_pieces_take_no_more_than_they_may(tokenizer):
+    encoder = token_files.PieceEncoder(PATH, size=2000)
+    for k in range(20):
+        texts = pa.array([" ".join(f"w{k}x{j}" for j in range(30)), "the one " * 3])
+        ids, _ = encoder.encode(*common.text_buffers(texts), 2)
+        assert ids.tolist() == [i for t in texts.to_pylist() for i in ids_of(tokenizer, t)]
+        assert len(encoder.keys) and encoder._size() <= 2000
+
+
+def test_kept_pieces_are_not_copied_for_a_slice(tokenizer):
+    import tracemalloc
+
+    n, ids_each = 400_000, 16
+    encoder = token_files.PieceEncoder(PATH)
+    keys = np.random.default_rng(1).permutation(np.arange(1, n + 1, dtype=np.uint64) << np.uint64(40))
+    encoder._learn(keys, [b"%024d" % k for k in range(n)], np.full(n, ids_each), np.zeros(n * ids_each, "<i4"))
+    assert len(encoder.keys) == n
+    tracemalloc.start()
+    ids, _ = encoder.encode(*common.text_buffers(pa.array(["a few new pieces"])), 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Hashes and numbers are put in order, old and new at once with a mask; the 24 bytes and 16 ids of a piece stay where they are.
+    assert ids.tolist() == ids_of(tokenizer, "a few new pieces") and peak < n * 40
+
+
 def test_ids_of_the_plain_call(spark, make_docs, prose, tokenizer, tmp_path):
     special = ["<|endoftext", "a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  <|endoftext|>y z", "é<|endoftext|>'s <| endoftext |>"]
     texts = [prose(40, k) for k in range(5)] + ["", *special]
